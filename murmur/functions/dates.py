@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from murmur.functions.bind import once
 from murmur.functions.fixed import UNKNOWN
 
 # Fixed formats.
@@ -42,9 +43,8 @@ def date_keyword(fields: Sequence[Column], as_of: dt.date) -> Column:
 
     Month and day are not range-checked.
     """
-    return F.coalesce(
-        *(_keyword_day(c, as_of.year) for c in fields), F.lit(as_of.isoformat())
-    )
+    found = [once(c, lambda v: _keyword_day(v, as_of.year)) for c in fields]
+    return F.coalesce(*found, F.lit(as_of.isoformat()))
 
 
 def _int(c: Column) -> Column:
@@ -56,24 +56,28 @@ def date_emotion(c: Column, year: int = 2024) -> Column:
 
     A text that starts with ``YYYY-MM-DD`` comes back unchanged, clock included.
     """
-    parts = F.split(c, "/")
-    month, day = _int(F.get(parts, 0)), _int(F.get(parts, 1))
-    return (
-        F.when(c.isNull() | (c == ""), None)
-        .when(
-            c.contains("年") & c.contains("月") & c.contains("日"),
-            F.when(c.rlike(HAN_DAY), _ymd(c, HAN_DAY)),
-        )
-        .when(
-            F.size(parts) == 2,
-            F.when(
-                month.isNotNull() & day.isNotNull(),
-                F.format_string("%d-%02d-%02d", F.lit(year), month, day),
-            ),
+
+    def rule(v: Column) -> Column:
+        parts = F.split(v, "/")
+        month, day = _int(F.get(parts, 0)), _int(F.get(parts, 1))
+        return (
+            F.when(v.isNull() | (v == ""), None)
+            .when(
+                v.contains("年") & v.contains("月") & v.contains("日"),
+                F.when(v.rlike(HAN_DAY), _ymd(v, HAN_DAY)),
+            )
+            .when(
+                F.size(parts) == 2,
+                F.when(
+                    month.isNotNull() & day.isNotNull(),
+                    F.format_string("%d-%02d-%02d", F.lit(year), month, day),
+                ),
+            )
+            .when(v.contains("T"), F.substring_index(v, "T", 1))
+            .when(v.rlike(ISO_DAY), v)
         )
-        .when(c.contains("T"), F.substring_index(c, "T", 1))
-        .when(c.rlike(ISO_DAY), c)
-    )
+
+    return once(c, rule)
 
 
 def date_annotation(c: Column, year: int = 2024, full_only: bool = False) -> Column:
@@ -81,13 +85,16 @@ def date_annotation(c: Column, year: int = 2024, full_only: bool = False) -> Col
 
     ``full_only`` accepts only the form with a year.
     """
-    c = F.replace(c, F.lit("2023"), F.lit("2024"))
-    n = F.size(F.split(c, "/"))
-    full = F.when(n == 3, F.try_to_date(c, "yyyy/M/d"))
-    if full_only:
-        return full
-    short = F.when(n == 2, F.try_to_date(F.concat(F.lit(f"{year}/"), c), "yyyy/M/d"))
-    return F.coalesce(full, short)
+
+    def rule(v: Column) -> Column:
+        n = F.size(F.split(v, "/"))
+        full = F.when(n == 3, F.try_to_date(v, "yyyy/M/d"))
+        if full_only:
+            return full
+        short = F.when(n == 2, F.try_to_date(F.concat(F.lit(f"{year}/"), v), "yyyy/M/d"))
+        return F.coalesce(full, short)
+
+    return once(F.replace(c, F.lit("2023"), F.lit("2024")), rule)
 
 
 def date_iso(c: Column, shift_hours: int = 0) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from murmur.functions import dates, sites
+from murmur.functions.bind import once
 from murmur.functions.fixed import UNCATEGORISED, UNKNOWN
 from murmur.functions.text import first_non_empty, squeeze_text, strip
 
@@ -88,7 +89,6 @@ def element(html: Column, tag: str, attr: str = "") -> Column:
     many openings as closings before it.
     """
     opened = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*{attr}[^>]*>(.*)$", 1)
-    pieces = F.split(opened, rf"(?i)</{tag}\s*>")
     start = F.struct(
         F.lit(0).alias("closed"), F.lit(0).alias("opened"), F.lit(False).alias("done")
     )
@@ -103,9 +103,12 @@ def element(html: Column, tag: str, attr: str = "") -> Column:
             )
         )
 
-    keep = F.aggregate(pieces, start, step, lambda acc: acc["closed"])
-    inner = F.array_join(F.slice(pieces, 1, keep), f"</{tag}>")
-    return F.when(opened != "", inner)
+    def inner(pieces: Column) -> Column:
+        keep = F.aggregate(pieces, start, step, lambda acc: acc["closed"])
+        return F.array_join(F.slice(pieces, 1, keep), f"</{tag}>")
+
+    # Without a match the text is empty, and no element can begin at its end.
+    return once(F.split(F.nullif(opened, F.lit("")), rf"(?i)</{tag}\s*>"), inner)
 
 
 def elements(html: Column, tag: str, attr: str = "") -> Column:
@@ -124,10 +127,13 @@ def css_class(name: str) -> str:
     return rf'class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
 
 
+def _tail(parts: Column) -> Column:
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
 def paragraphs(html: Column) -> Column:
     """Plain text of each paragraph; an unclosed one ends where the next begins."""
-    opened = F.split(html, PARAGRAPH_OPEN)
-    inner = F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0)))
+    inner = once(F.split(html, PARAGRAPH_OPEN), _tail)
     return F.transform(inner, lambda p: plain(F.regexp_replace(p, PARAGRAPH_REST, "")))
 
 
@@ -145,8 +151,7 @@ def pushes(html: Column) -> Column:
 
     Reading stops at the first push without a tag.
     """
-    parts = F.split(html, r'(?i)<div\b[^>]*class="push(?:\s[^"]*)?"[^>]*>')
-    parts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    parts = once(F.split(html, r'(?i)<div\b[^>]*class="push(?:\s[^"]*)?"[^>]*>'), _tail)
 
     def span(part: Column, name: str) -> Column:
         return plain(F.regexp_extract(part, rf'(?is)<span\b[^>]*{css_class(name)}[^>]*>(.*?)</span>', 1))
@@ -159,9 +164,11 @@ def pushes(html: Column) -> Column:
             span(part, "push-ipdatetime").alias("time"),
         )
 
-    read_all = F.transform(parts, read)
-    missing = F.array_position(F.transform(read_all, lambda p: p["tag"].isNull()), F.lit(True))
-    return F.when(missing > 0, F.slice(read_all, 1, missing.cast("int") - 1)).otherwise(read_all)
+    def until_bad(found: Column) -> Column:
+        bad = F.array_position(F.transform(found, lambda p: p["tag"].isNull()), F.lit(True))
+        return F.when(bad > 0, F.slice(found, 1, bad.cast("int") - 1)).otherwise(found)
+
+    return once(F.transform(parts, read), until_bad)
 
 
 @dataclass(frozen=True)
@@ -249,7 +256,7 @@ YAHOO = PageRules(
 )
 
 
-def _first_text(html: Column, selectors: Sequence[tuple[str, str]]) -> Column:
+def first_text(html: Column, selectors: Sequence[tuple[str, str]]) -> Column:
     texts = [
         plain(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*{attr}[^>]*>(.*?)</(?:{tag})\s*>", 1))
         for tag, attr in selectors
@@ -264,11 +271,11 @@ def read_article(html: Column, rules: PageRules) -> dict[str, Column]:
     inner = without(scope, rules.drop) if rules.drop else scope
     body = {
         "squeezed": lambda: squeeze_text(paragraphs(inner)),
-        "paragraphs": lambda: F.array_join(paragraphs(inner), "\\n"),
+        "paragraphs": lambda: F.array_join(paragraphs(inner), "\n"),
         "text": lambda: plain(inner),
         "lines": lambda: lines(inner),
     }[rules.body]()
-    named = _first_text(page, rules.reporter)
+    named = first_text(page, rules.reporter)
     reporter = {
         "text": lambda: named,
         "between": lambda: sites.reporter_between(first_non_empty(named, plain(inner))),
@@ -276,7 +283,7 @@ def read_article(html: Column, rules: PageRules) -> dict[str, Column]:
         "editor": lambda: sites.reporter_or_editor(named),
         "byline": lambda: F.coalesce(named, sites.reporter_byline(plain(page))),
     }[rules.reporter_rule]()
-    shown = _first_text(page, rules.date)
+    shown = first_text(page, rules.date)
     date = {
         "raw": lambda: shown,
         "day": lambda: dates.date_news(shown),
@@ -288,7 +295,7 @@ def read_article(html: Column, rules: PageRules) -> dict[str, Column]:
     else:
         category = F.lit(rules.no_category).cast("string")
     return {
-        "title": _first_text(page, rules.title),
+        "title": first_text(page, rules.title),
         "body": body,
         "reporter": F.coalesce(reporter, F.lit(rules.no_reporter)),
         "date": date,

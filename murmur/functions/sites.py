@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from murmur.functions.bind import once
 from murmur.functions.fixed import (
     KEYWORD_SOURCES,
     OTHER_SOURCE,
@@ -34,11 +35,14 @@ def classify_source(
     default: str = OTHER_SOURCE,
 ) -> Column:
     """Name of the first rule whose text occurs in the URL, case ignored."""
-    low = F.lower(url)
-    out = F.when(url.isNull() | (url == ""), F.lit(empty))
-    for part, name in rules:
-        out = out.when(low.contains(part), F.lit(name))
-    return out.otherwise(F.lit(default))
+
+    def rule(low: Column) -> Column:
+        out = F.when(low.isNull() | (low == ""), F.lit(empty))
+        for part, name in rules:
+            out = out.when(low.contains(part), F.lit(name))
+        return out.otherwise(F.lit(default))
+
+    return once(F.lower(url), rule)
 
 
 def first_match(c: Column, patterns: Sequence[str], default: str | None = None) -> Column:
@@ -49,11 +53,14 @@ def first_match(c: Column, patterns: Sequence[str], default: str | None = None)
 
 def reporter_between(c: Column) -> Column:
     """Text between the first reporter mark and the first wide slash, else empty."""
-    t = strip(c)
-    start, end = F.instr(t, "記者"), F.instr(t, "／")
-    name = F.substring(t, start + 2, end - start - 2)
-    kept = strip(F.regexp_replace(name, r"(?U)[^\p{L}\p{N}\s]", ""))
-    return F.when((start > 0) & (end > start + 2), kept).otherwise(F.lit(""))
+
+    def rule(t: Column) -> Column:
+        start, end = F.instr(t, "記者"), F.instr(t, "／")
+        name = F.substring(t, start + 2, end - start - 2)
+        kept = strip(F.regexp_replace(name, r"(?U)[^\p{L}\p{N}\s]", ""))
+        return F.when((start > 0) & (end > start + 2), kept).otherwise(F.lit(""))
+
+    return once(strip(c), rule)
 
 
 def reporter_slash(c: Column) -> Column:
@@ -78,9 +85,10 @@ def article_id(url: Column) -> Column:
 
 def category_path(crumbs: Column, default: str = UNCATEGORISED) -> Column:
     """Last two breadcrumbs as ``a/b``; a shorter trail gives the default."""
-    return F.when(
-        F.size(crumbs) >= 2, F.array_join(F.slice(crumbs, -2, 2), "/")
-    ).otherwise(F.lit(default))
+    return once(
+        crumbs,
+        lambda c: F.when(F.size(c) >= 2, F.array_join(F.slice(c, -2, 2), "/")).otherwise(F.lit(default)),
+    )
 
 
 def comment_prefix_strip(c: Column) -> Column:

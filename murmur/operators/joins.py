@@ -43,7 +43,7 @@ def salted_lookup(
 def estimated_bytes(table: DataFrame) -> int:
     """Size of the optimised plan's output as Catalyst estimates it; runs no job."""
     stats = table._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def small_lookup(
