@@ -15,6 +15,7 @@ from murmur.operators.joins import literal_table
 from murmur.operators.tables import union_sources
 from murmur.operators.tokens import segment, tokenize, word_frequency_map
 from murmur.plans import daily
+from murmur.session import scratch
 
 
 def _keyword_tokens(spark, sf):
@@ -369,7 +370,10 @@ def normalize_annotated(spark, sf):
     docs = ann.annotated_content(
         articles, _with_entities(spark, sf).drop("publish_date"), "ptt"
     )
-    t = ann.normalize_annotated(docs)
+    # Stored as the annotation job leaves them; each table reads its own part back.
+    path = scratch(spark, "annotated")
+    docs.write.parquet(path)
+    t = ann.normalize_annotated(spark.read.parquet(path))
     none = F.lit(None).cast("bigint")
     return (
         t["article_info"]

@@ -15,7 +15,7 @@ from murmur.functions.text import first_non_empty, squeeze_text, strip
 
 # Fixed named entities; the ampersand comes last, so nothing is unescaped twice.
 ENTITIES = (
-    ("&nbsp;", " "),
+    ("&nbsp;", "\xa0"),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),

@@ -13,9 +13,15 @@ from murmur.functions.fixed import BLANKS
 HAN = "\u4e00-\u9fff"
 
 # A word is a run of letters, marks and digits outside the Han block. It is one
-# negated character class: the Java engine walks such a run in a loop, whereas a
-# repeated group would recurse once per character.
-WORD = rf"[^\p{{P}}\p{{S}}\p{{Z}}\p{{C}}{HAN}]+"
+# character class: the Java engine walks such a run in a loop, whereas a repeated
+# group would recurse once per character. Letters are tested first.
+WORD = rf"[\p{{L}}\p{{N}}\p{{M}}&&[^{HAN}]]+"
+
+# Between blanks: something with a letter or digit, and no control or invisible
+# character. Written over the whole word, so it need not be stripped first.
+_SEEN = r"[^\x{00}-\x{1F}\x{FEFF}\x{200B}\x{2060}]*"
+_EDGE = "[" + re.escape(BLANKS) + "]*"
+KEYWORD = rf"^{_EDGE}{_SEEN}[\p{{L}}\p{{N}}]{_SEEN}{_EDGE}$"
 
 # Beyond this many words an alternation is slower than the join in
 # operators.tokens.segment, which has no bound.
@@ -68,13 +74,11 @@ def tokens(c: Column, words: Sequence[str] = (), lower: bool = True) -> Column:
 
 def is_valid_keyword(c: Column, min_len: int = 1) -> Column:
     """Whether a word may be reported; the test strips it, the word stays as is."""
-    s = strip(c)
-    return F.coalesce(
-        (F.length(s) >= max(1, min_len))
-        & s.rlike(r"[\p{L}\p{N}]")
-        & ~s.rlike(r"[\x{00}-\x{1F}\x{FEFF}\x{200B}\x{2060}]"),
-        F.lit(False),
-    )
+    # Plain words are nearly all there are, and told at once.
+    ok = c.rlike(r"^[\p{L}\p{N}]+$") | c.rlike(KEYWORD)
+    if min_len > 1:
+        ok = ok & (F.length(strip(c)) >= min_len)
+    return F.coalesce(ok, F.lit(False))
 
 
 def digits_to_int(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions.text import clean_text, tokens
 from murmur.operators.joins import small_lookup
-from murmur.operators.tokens import by_document
+from murmur.operators.layout import by_document
 from murmur.schema import ANNOTATION
 
 # What a model does: texts in, one (words, tags, [(entity, type)]) per text out.
@@ -74,9 +74,9 @@ def gazetteer_entities(tokens: DataFrame, gazetteer: DataFrame, carry: Sequence[
 def word_pos_frequency(annotated: DataFrame, doc: str = "url") -> DataFrame:
     """One row per token: word, tag and how often the word occurs in the document."""
     pairs = by_document(annotated.select(doc, "words", "pos"), doc).select(
-        doc, F.posexplode(F.arrays_zip("words", "pos")).alias("pos_idx", "_t")
+        doc, F.posexplode_outer(F.arrays_zip("words", "pos")).alias("pos_idx", "_t")
     )
-    rows = pairs.select(
+    rows = pairs.filter("pos_idx is not null").select(
         doc, "pos_idx", F.col("_t.words").alias("word"), F.col("_t.pos").alias("pos")
     )
     w = Window.partitionBy(doc, "word")
@@ -88,8 +88,9 @@ def entity_mentions(
 ) -> DataFrame:
     """One row per mention; ``counts`` counts the entity text whatever its type."""
     rows = by_document(annotated.select(doc, day, "entities"), doc).select(
-        doc, F.col(day).alias("publish_date"), F.posexplode("entities").alias("idx", "_e")
+        doc, F.col(day).alias("publish_date"), F.posexplode_outer("entities").alias("idx", "_e")
     )
+    rows = rows.filter("idx is not null")
     w = Window.partitionBy(doc, "entity")
     return rows.select(doc, "idx", "_e.entity", "_e.type", "publish_date").select(
         doc, "idx", "entity", "type", F.count(F.lit(1)).over(w).alias("counts"), "publish_date"

@@ -11,6 +11,7 @@ from murmur.functions import dates, sites
 from murmur.functions.fixed import EMOTION_SOURCES
 from murmur.functions.html import GENERIC, PageRules, read_article
 from murmur.functions.text import clean_text, first_non_empty
+from murmur.operators.layout import spread
 from murmur.schema import ARTICLE_FIELDS
 
 
@@ -95,4 +96,5 @@ def since(articles: DataFrame, as_of: dt.date, days: int = 1, column: str = "pub
 def extract_articles(pages: DataFrame, rules: PageRules = GENERIC) -> DataFrame:
     """Raw HTML pages to article fields."""
     fields = read_article(F.col("html"), rules)
+    pages = spread(pages.select("page_id", "url", "html"), "page_id")
     return pages.select("page_id", "url", *(c.alias(n) for n, c in fields.items()))

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmur.operators.layout import estimated_bytes
+
 SALTS = 16
 
 # A table of at most this size by Catalyst's estimate is sent to every task.
@@ -40,12 +42,6 @@ def salted_lookup(
     )
 
 
-def estimated_bytes(table: DataFrame) -> int:
-    """Size of the optimised plan's output as Catalyst estimates it; runs no job."""
-    stats = table._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def small_lookup(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner", limit: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.functions.text import is_valid_keyword, strip
@@ -24,10 +24,12 @@ def union_stopwords(*parts: DataFrame) -> DataFrame:
 
 def drop_stopwords(rows: DataFrame, stopwords: DataFrame, column: str) -> DataFrame:
     """Rows whose stripped word is no stopword; the word itself stays as it is."""
+    return _without(rows, stopwords, strip(F.col(column)))
+
+
+def _without(rows: DataFrame, stopwords: DataFrame, word: Column) -> DataFrame:
     stop = stopwords.select(F.col("word").alias("_stop")).distinct()
-    return small_lookup(
-        rows.withColumn("_stop", strip(F.col(column))), stop, ["_stop"], "left_anti"
-    ).drop("_stop")
+    return small_lookup(rows.withColumn("_stop", word), stop, ["_stop"], "left_anti").drop("_stop")
 
 
 def keyword_counts(
@@ -51,8 +53,14 @@ def keyword_counts(
 
 
 def valid_keywords(counts: DataFrame, stopwords: DataFrame, min_len: int = 1) -> DataFrame:
-    valid = counts.filter(is_valid_keyword(F.col("keyword"), min_len))
-    return drop_stopwords(valid, stopwords, "keyword")
+    """Counted words that may be reported.
+
+    Both tests look at the count as well, which keeps Catalyst from moving them
+    below the aggregate, where they would run once per token.
+    """
+    counted = F.col("cnt") > 0
+    valid = counts.filter(F.when(counted, is_valid_keyword(F.col("keyword"), min_len)))
+    return _without(valid, stopwords, F.when(counted, strip(F.col("keyword"))))
 
 
 def top_keywords(

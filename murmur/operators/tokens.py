@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.bind import once
 from murmur.functions.text import HAN, WORD, tokens
 from murmur.operators.joins import small_lookup
+from murmur.operators.layout import by_document, spread
 
 
 def tokenize(
@@ -27,8 +29,13 @@ def tokenize(
 
 
 def token_rows(docs: DataFrame, carry: Sequence[str], words: str = "words") -> DataFrame:
-    """As ``tokenize``, for documents whose words are already an array column."""
-    return docs.select(*carry, F.posexplode(words).alias("pos", "token"))
+    """As ``tokenize``, for documents whose words are already an array column.
+
+    Exploded with nulls for empty arrays, which are dropped after: otherwise
+    Catalyst tests the size of the array first, and builds it twice for that.
+    """
+    rows = docs.select(*carry, F.posexplode_outer(words).alias("pos", "token"))
+    return rows.filter("pos is not null")
 
 
 def segment(
@@ -46,64 +53,71 @@ def segment(
     do not overlap. Characters in no word are tokens of their own. ``pos`` counts
     the tokens of a document from 0, as ``tokenize`` does.
     """
+    docs = spread(docs.select(doc, content), doc)
     text = F.lower(content) if lower else F.col(content)
-    runs = docs.select(
-        doc, F.posexplode(F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))).alias("run", "piece")
+    found = F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
+    han = F.col("piece").rlike(f"^[{HAN}]")
+    # A run is held as its characters, so that cutting one out takes no scan.
+    chars = F.when(han, F.regexp_extract_all("piece", F.lit("."), F.lit(0)))
+    runs = docs.select(doc, F.posexplode(found).alias("run", "piece")).select(
+        doc, "run", "piece", chars.alias("chars")
     )
-    han = runs.filter(F.col("piece").rlike(f"^[{HAN}]"))
-    starts = han.select(
-        doc, "run", "piece", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("start")
+    grams = F.transform(
+        F.sequence(F.lit(1), F.size("chars")),
+        lambda i: F.struct(
+            i.alias("start"), F.array_join(F.slice("chars", i, max_len), "").alias("text")
+        ),
+    )
+    candidates = (
+        runs.filter("size(chars) > 1")
+        .select(doc, "run", F.explode(grams).alias("g"))
+        .filter("length(g.text) > 1")
+        .select(
+            doc, "run", "g.start", "g.text", F.explode(F.sequence(F.lit(2), F.length("g.text"))).alias("n")
+        )
+        .select(doc, "run", "start", "n", F.substring("text", F.lit(1), F.col("n")).alias("word"))
     )
-    grams = starts.select(
-        doc,
-        "run",
-        "start",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length("piece") - F.col("start") + 1))).alias("n"),
-        "piece",
-    ).select(doc, "run", "start", "n", F.substring("piece", F.col("start"), F.col("n")).alias("word"))
     known = lexicon.select("word").filter(F.length("word") > 1).distinct()
     hits = (
-        small_lookup(grams.filter("n > 1"), known, ["word"], "left_semi")
+        small_lookup(candidates, known, ["word"], "left_semi")
         .groupBy(doc, "run")
         # Sorted like this, the longest of the hits at one start comes first.
         .agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("n")).alias("m")))).alias("hits"))
     )
 
+    # Begin and end of each kept word, in one flat array of numbers.
     def step(acc, hit):
+        end = hit["start"] - hit["m"]
         return F.when(
             hit["start"] >= acc["next"],
             F.struct(
-                (hit["start"] - hit["m"]).alias("next"),
-                F.concat(
-                    acc["kept"], F.array(F.struct(hit["start"].alias("start"), (-hit["m"]).alias("n")))
-                ).alias("kept"),
+                end.alias("next"), F.concat(acc["kept"], F.array(hit["start"], end)).alias("kept")
             ),
         ).otherwise(acc)
 
-    none = F.array().cast("array<struct<start:int,n:int>>")
-    kept = F.aggregate(
-        F.col("hits"),
-        F.struct(F.lit(0).alias("next"), none.alias("kept")),
+    none = F.array().cast("array<int>")
+    cuts = F.aggregate(
+        "hits",
+        F.struct(F.lit(1).alias("next"), none.alias("kept")),
         step,
         lambda acc: acc["kept"],
     )
-    cut = hits.select(doc, "run", kept.alias("kept"))
-    pieces = runs.join(cut, [doc, "run"], "left")
-    kept_or_none = F.coalesce("kept", none)
-    singles = F.filter(
-        F.sequence(F.lit(1), F.length("piece")),
-        lambda i: ~F.exists(kept_or_none, lambda k: (i >= k["start"]) & (i < k["start"] + k["n"])),
+    pieces = runs.join(hits.select(doc, "run", cuts.alias("cuts")), [doc, "run"], "left")
+    # With the ends of the run put around them, the cuts bound a stretch of single
+    # characters, a word, a stretch of single characters, and so on.
+    bounds = F.concat(
+        F.array(F.lit(1)), F.coalesce("cuts", none), F.array(F.size("chars") + 1)
     )
-    spans = F.sort_array(
-        F.concat(
-            kept_or_none,
-            F.transform(singles, lambda i: F.struct(i.alias("start"), F.lit(1).alias("n"))),
-        )
-    )
-    words = F.when(
-        F.col("piece").rlike(f"^[{HAN}]"),
-        F.transform(spans, lambda s: F.substring("piece", s["start"], s["n"])),
-    ).otherwise(F.array("piece"))
+
+    def spelled(b):
+        def part(i):
+            begin, end = F.get(b, i), F.get(b, i + 1)
+            cut = F.slice("chars", begin, end - begin)
+            return F.when(i % 2 == 0, cut).otherwise(F.array(F.array_join(cut, "")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(b) - 2), part))
+
+    words = F.when(F.col("chars").isNull(), F.array("piece")).otherwise(once(bounds, spelled))
     by_doc = pieces.select(doc, "run", words.alias("words")).groupBy(doc).agg(
         F.flatten(
             F.transform(F.sort_array(F.collect_list(F.struct("run", "words"))), lambda r: r["words"])
@@ -112,14 +126,6 @@ def segment(
     return token_rows(by_doc, [doc])
 
 
-def by_document(docs: DataFrame, doc: str) -> DataFrame:
-    """Move whole documents, not their tokens, to the task that will group them.
-
-    Grouping and ranking by ``doc`` and anything else then needs no further shuffle.
-    """
-    return docs.repartition(doc)
-
-
 def word_frequency(docs: DataFrame, doc: str, words: str = "words") -> DataFrame:
     """Occurrences of each word of a document."""
     rows = token_rows(by_document(docs.select(doc, words), doc), [doc], words)

@@ -15,12 +15,13 @@ from murmur.operators.articles import (
     normalize_for_keywords,
     reject_incomplete,
 )
+from murmur.operators.layout import spread
 from murmur.operators.tokens import tokenize
 
 
 def keyword_tokens(docs: DataFrame, as_of: dt.date, words: Sequence[str] = ()) -> DataFrame:
     """(doc_seq, key, value) documents to dated tokens for keyword counts."""
-    articles = reject_incomplete(normalize_for_keywords(docs, as_of))
+    articles = reject_incomplete(normalize_for_keywords(spread(docs, "doc_seq"), as_of))
     dated = articles.withColumn("publish_date", text_day(F.col("publish_day")))
     return tokenize(
         reject_incomplete(dated, ("publish_day",)).filter("publish_date is not null"),
@@ -46,7 +47,9 @@ def daily_keywords(
 
 def emotion_articles(docs: DataFrame, year: int = 2024) -> DataFrame:
     """(doc_seq, key, value) documents to dated articles for emotions."""
-    articles = reject_incomplete(normalize_for_emotions(docs, year), ("content", "raw_date", "url"))
+    articles = reject_incomplete(
+        normalize_for_emotions(spread(docs, "doc_seq"), year), ("content", "raw_date", "url")
+    )
     return articles.withColumn("publish_date", text_day(F.col("publish_day"))).filter(
         "publish_date is not null"
     )

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from murmur.functions.text import clean_text, tokens
 from murmur.operators.annotate import gazetteer_entities
 from murmur.operators.ingest import latest_by_key, parse_messages
-from murmur.operators.tokens import by_document, token_rows, word_frequency_map
+from murmur.operators.layout import by_document
+from murmur.operators.tokens import token_rows, word_frequency_map
 from murmur.streaming.ingest import KEYS, ORDER
 from murmur.streaming.log import put, start
 
