@@ -388,24 +388,19 @@ def normalize_annotated(spark, sf):
     )
 
 
-def _sample_annotator():
-    """Stands for a model: blank-separated words, capitalised ones are entities."""
-
-    def run(texts):
-        out = []
-        for t in texts:
-            words = t.split()
-            out.append(
-                (words, ["Na" if w.isalpha() else "FW" for w in words], [(w, "PERSON") for w in words if w.istitle()])
-            )
-        return out
+@query()
+def annotate(spark, sf):
+    # Stands for a model. Defined here, it travels to the workers by value.
+    def factory():
+        def tag(words):
+            return ["Na" if w.isalpha() else "FW" for w in words]
 
-    return run
+        def names(words):
+            return [(w, "PERSON") for w in words if w.istitle()]
 
+        return lambda texts: [(w, tag(w), names(w)) for w in map(str.split, texts)]
 
-@query()
-def annotate(spark, sf):
-    out = ann.annotate(_emotion_docs(spark, sf), _sample_annotator)
+    out = ann.annotate(_emotion_docs(spark, sf), factory)
     return out.select("url", F.size("words").alias("n_words"), F.size("entities").alias("n_entities"))
 
 

@@ -27,8 +27,7 @@ def test_parse_messages(spark):
     )
     good, bad = ingest.parse_messages(raw, "a int")
     assert rows(good.select("offset", "value.a")) == [(1, 1), (4, None)]
-    # A message without any value is neither.
-    assert rows(bad.select("offset")) == [(2,), (5,)]
+    assert rows(bad.select("offset")) == [(2,), (3,), (5,)]
 
 
 def test_latest_by_key_random(spark):
