@@ -151,7 +151,7 @@ split AS (
          regexp_extract_all(lower(content), '[\p{L}\p{M}\p{N}]+') AS w
   FROM articles),
 tokens AS (
-  SELECT doc_seq, publish_date, source, url, unnest(w) AS token, unnest(range(len(w))) AS pos
+  SELECT doc_seq, publish_date, source, url, unnest(w) AS token, CAST(unnest(range(len(w))) AS INTEGER) AS pos
   FROM split)
 """
 
@@ -164,7 +164,7 @@ LEX = f"""lex AS (
 def pol_sql() -> str:
     from murmur.functions.fixed import POLARITY
 
-    return f"pol AS (SELECT category, polarity FROM {values(POLARITY, 'category, polarity')})"
+    return f"pol AS (SELECT category, CAST(polarity AS BIGINT) AS polarity FROM {values(POLARITY, 'category, polarity')})"
 
 
 POL = pol_sql()

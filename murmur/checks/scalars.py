@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from murmur.checks import inputs as src
@@ -267,11 +269,8 @@ def comment_prefix_strip(spark, sf):
     )
 
 
-@query("""WITH last AS (SELECT CAST(max(ts) AS DATE) AS d FROM events)
-SELECT event_id, CAST(ts AS DATE) AS publish_date FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-29'""")
+@query("""SELECT event_id, CAST(ts AS DATE) AS publish_date FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-29'""")
 def recency_filter(spark, sf):
-    import datetime as dt
-
     events = src.table(spark, sf, "events").select("event_id", F.to_date("ts").alias("publish_date"))
     return art.since(events, dt.date(2024, 1, 30))
 

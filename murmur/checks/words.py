@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from murmur.checks import inputs as src
 from murmur.checks.registry import query
-from murmur.functions.text import is_valid_keyword
+from murmur.functions.text import is_valid_keyword, pack_word_pos
 from murmur.operators import annotate as ann
 from murmur.operators import emotion, keywords, sentiment
 from murmur.operators.joins import literal_table
@@ -127,7 +127,7 @@ han AS (
 cut AS (
   SELECT doc_seq, regexp_extract_all(coalesce(string_agg(h, '' ORDER BY pos), ''), '自由自在|自由|由自|[一-鿿]') AS w
   FROM han GROUP BY doc_seq)
-SELECT doc_seq, token, count(*) AS n, sum(pos) AS places FROM (
+SELECT doc_seq, token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS places FROM (
   SELECT doc_seq, unnest(w) AS token, unnest(range(len(w))) AS pos FROM cut) GROUP BY ALL""")
 def segment_query(spark, sf):
     # Frequent words rewritten in Han characters and put side by side.
@@ -157,7 +157,7 @@ def lexicon_join(spark, sf):
 
 
 @query(f"""WITH {LEXED}
-SELECT category, polarity, count(*) AS n, sum(polarity) AS total
+SELECT category, polarity, count(*) AS n, CAST(sum(polarity) AS BIGINT) AS total
 FROM hits JOIN pol USING (category) GROUP BY ALL""")
 def polarity_join(spark, sf):
     hits = emotion.with_category(_emotion_tokens(spark, sf), src.lexicon(spark))
@@ -291,7 +291,7 @@ CASED = src.ARTICLES + r""",
 split AS (
   SELECT doc_seq, url, publish_date, regexp_extract_all(content, '[\p{L}\p{M}\p{N}]+') AS w FROM articles),
 cased AS (
-  SELECT doc_seq, url, publish_date, unnest(w) AS word, unnest(range(len(w))) AS pos_idx FROM split),
+  SELECT doc_seq, url, publish_date, unnest(w) AS word, CAST(unnest(range(len(w))) AS INTEGER) AS pos_idx FROM split),
 tagged AS (
   SELECT *, CASE WHEN regexp_matches(word, '^\p{N}+$') THEN 'Neu' ELSE 'FW' END AS pos FROM cased)
 """
@@ -309,11 +309,9 @@ def word_pos_frequency(spark, sf):
 
 @query(f"""WITH {CASED} SELECT url, string_agg(word || '(' || pos || ')', '　' ORDER BY pos_idx) AS packed
 FROM tagged GROUP BY url""")
-def pack_word_pos(spark, sf):
-    from murmur.functions import text
-
+def pack_word_pos_query(spark, sf):
     packed = _annotated(spark, sf).select(
-        "url", text.pack_word_pos(F.col("words"), F.col("pos")).alias("packed")
+        "url", pack_word_pos(F.col("words"), F.col("pos")).alias("packed")
     )
     return packed.filter("packed <> ''")
 

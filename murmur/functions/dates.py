@@ -43,8 +43,9 @@ def date_keyword(fields: Sequence[Column], as_of: dt.date) -> Column:
 
     Month and day are not range-checked.
     """
-    found = [once(c, lambda v: _keyword_day(v, as_of.year)) for c in fields]
-    return F.coalesce(*found, F.lit(as_of.isoformat()))
+    found = F.transform(F.array(*fields), lambda v: _keyword_day(v, as_of.year))
+    first = F.get(F.filter(found, lambda day: day.isNotNull()), F.lit(0))
+    return F.coalesce(first, F.lit(as_of.isoformat()))
 
 
 def _int(c: Column) -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.operators.ingest import first_by_key
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with the rows of ``new`` put in by key.
@@ -37,8 +39,6 @@ def absent(
     old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """First row per key of ``new`` whose key ``old`` does not have."""
-    from murmur.operators.ingest import first_by_key
-
     return first_by_key(new, keys, order).join(old.select(*keys), list(keys), "left_anti")
 
 
@@ -63,11 +63,13 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def unprocessed(source: DataFrame, done: DataFrame, key: str = "url", flag: str | None = None) -> DataFrame:
     """Rows of ``source`` that are not flagged and whose key is not in ``done``.
 
-    Rows without a key stay. ``done`` is read for its key column only.
+    Rows without a key stay. ``done`` is read for its key column only, and is not
+    made distinct first: both sides then come straight from their shuffle, and
+    adaptive execution can split a partition full of rows without a key.
     """
     if flag:
         source = source.filter(~F.coalesce(F.col(flag), F.lit(False)))
-    return source.join(distinct_urls(done, key), key, "left_anti")
+    return source.join(done.select(key), key, "left_anti")
 
 
 def distinct_urls(rows: DataFrame, key: str = "url") -> DataFrame:
@@ -76,7 +78,7 @@ def distinct_urls(rows: DataFrame, key: str = "url") -> DataFrame:
 
 def exists_lookup(rows: DataFrame, known: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """Rows to update and rows to insert, by whether their key is known."""
-    keys = distinct_urls(known, key)
+    keys = known.select(key)
     return rows.join(keys, key, "left_semi"), rows.join(keys, key, "left_anti")
 
 

@@ -81,12 +81,12 @@ def overwrite(rows: DataFrame, path: str) -> None:
 
 
 def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str] = ("publish_date",)) -> None:
-    """Replace only the partitions that ``rows`` has, one write per day.
+    """Replace only the partitions that ``rows`` has.
 
-    Rows of a day are brought together first, so a day is not scattered over as
-    many files as there are tasks.
+    Rebalanced by partition first: rows of a small day come together in one file,
+    and a day too large for one task is split over several.
     """
-    rows.repartition(*partition_by).write.mode("overwrite").option(
+    rows.hint("rebalance", *partition_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*partition_by).parquet(path)
 
