@@ -245,39 +245,42 @@ messages AS (
 
 
 def crawl_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl log: errors are failures, views and clicks are visits that went well."""
-    e = table(spark, sf_dir, "events").filter("event_type in ('view', 'click', 'error')")
-    kind = F.when(F.col("event_type") == "error", "failed").otherwise("ok")
-    # Failures are rare in a crawl: only the cheap ones of a user count as such.
-    return e.filter("event_type <> 'error' or value < 1").select(
+    """Crawl log: every event but a sign-up is a visit, the cheapest errors failed."""
+    e = table(spark, sf_dir, "events").filter("event_type <> 'signup'")
+    failed = (F.col("event_type") == "error") & (F.col("value") < 1)
+    return e.select(
         F.concat(F.lit("https://www.dcard.tw/f/b/p/"), F.col("user_id").cast("string")).alias("url"),
         F.col("event_id").alias("seq"),
-        kind.alias("kind"),
+        F.when(failed, "failed").otherwise("ok").alias("kind"),
         F.to_date("ts").alias("date"),
     )
 
 
 def found_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """URLs as they were discovered, many of them again and again."""
+    """URLs as they were discovered: sign-ups, many of them again and again, and pages."""
     e = table(spark, sf_dir, "events").filter("event_type = 'signup'")
-    return e.select(
+    posts = e.select(
         F.concat(F.lit("https://www.dcard.tw/f/b/p/"), F.col("user_id").cast("string")).alias("url"),
         F.to_date("ts").alias("date"),
         F.col("event_id").alias("seq"),
     )
+    pages = table(spark, sf_dir, "pages").select(
+        "url", F.lit(AS_OF).alias("date"), (-F.col("page_id") - 1).alias("seq")
+    )
+    return posts.unionByName(pages)
 
 
 CRAWL = """
 crawl AS (
   SELECT 'https://www.dcard.tw/f/b/p/' || user_id AS url, event_id AS seq,
-         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'ok' END AS kind, CAST(ts AS DATE) AS date
-  FROM events
-  WHERE event_type IN ('view', 'click') OR (event_type = 'error' AND value < 1)),
+         CASE WHEN event_type = 'error' AND value < 1 THEN 'failed' ELSE 'ok' END AS kind, CAST(ts AS DATE) AS date
+  FROM events WHERE event_type <> 'signup'),
 found AS (
   SELECT 'https://www.dcard.tw/f/b/p/' || user_id AS url, CAST(ts AS DATE) AS date, event_id AS seq
-  FROM events WHERE event_type = 'signup'),
+  FROM events WHERE event_type = 'signup'
+  UNION ALL SELECT url, DATE '2024-01-31', -page_id - 1 FROM pages),
 seeded AS (
-  SELECT CAST(split_part(url, '/', 7) AS VARCHAR) AS id, arg_min(date, seq) AS date, url,
+  SELECT string_split(url, '/')[-1] AS id, arg_min(date, seq) AS date, url,
          0 AS first_crawl, CAST(0 AS BIGINT) AS confirm_num, CAST(NULL AS DATE) AS last_update
   FROM found GROUP BY url),
 first_fail AS (SELECT url, min(seq) AS failed FROM crawl WHERE kind = 'failed' GROUP BY url),
