@@ -46,3 +46,14 @@ def test_scan_reads_only_what_is_needed(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x").startswith(shared_dir(spark) + "/x-")
+
+
+def test_new_comments_can_be_split_by_adaptive_execution(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        physical = plan(spark, "new_comment_difference").split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Join, sort and exchange on either side, with no aggregate between them.
+    assert physical.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" in physical and "HashAggregate" not in physical
