@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import langid, quality, toxicity
-from murmur.llm.common import fold
+from murmur.llm import bpe, langid, quality, tokenfile, toxicity
+from murmur.llm.common import fold, new_folder
 from murmur.session import SETTINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,13 @@ ORACLE: dict[str, str] = {}
 LEARN_THRESHOLD = 0.3
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +48,18 @@ def _judged(scores: DataFrame, held: int, parts: int) -> DataFrame:
     )
 
 
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokenfile.write(docs, new_folder(spark, "tokens"), tokenizer("word_bpe_49k.json"))
+    return tokenfile.read(manifest).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -55,6 +74,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality.score(docs, model), 0, 5)
 
 
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
