@@ -24,11 +24,12 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def partitions(df: DataFrame, target: int = PARTITION_BYTES) -> int:
-    """Number of partitions: the session's, or more where the input's estimated bytes ask for it."""
-    spark = df.sparkSession
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    held = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(held, min(int(str(size)) // target, 200_000))
+    """Number of partitions: the session's, or more where the bytes of the tables read ask for it."""
+    held = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    # the tables themselves: an estimate of what a join makes of them is their product
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(held, min(size // target, 200_000))
 
 
 def fold(column: str | Column, parts: int) -> Column:

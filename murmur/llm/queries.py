@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, langid, quality, tokenfile, toxicity
+from murmur.llm import bpe, chosen_path, langid, quality, tokenfile, toxicity
 from murmur.llm.common import fold, new_folder
 from murmur.session import SETTINGS
 
@@ -92,3 +92,8 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, fold("doc_id", 3) != 1)
     out = langid.predict(docs, model)
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
