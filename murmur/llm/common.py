@@ -28,8 +28,9 @@ def partitions(df: DataFrame, target: int = PARTITION_BYTES) -> int:
     held = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     # the tables themselves: an estimate of what a join makes of them is their product
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return max(held, min(size // target, 200_000))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # the rest have no estimate
+    return max(held, min(known // target, 200_000))
 
 
 def fold(column: str | Column, parts: int) -> Column:
