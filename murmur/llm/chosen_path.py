@@ -1,18 +1,18 @@
 """Near-duplicates by a chosen-path set similarity join.
 
 Every text is a set of word shingles. Texts with the same set are one class, which its smallest doc_id
-stands for. A class has a sketch of 128 minwise values. In each tree a node chooses one or two
-of the 128 places, and its classes move on to the children named by the minwise tokens they have there, so
+stands for. A class has a sketch of 256 minwise values. In each tree a node chooses one or two
+of 128 places, and its classes move on to the children named by the minwise tokens they have there, so
 similar classes stay together with a probability no less than their similarity at each step.
 Nodes of at most ``LEAF`` classes are compared exhaustively on their sketches; larger ones branch
 again, up to ``DEPTH`` times, and what is larger still is compared in blocks. Trees
 are independent; with 12 a pair at the bound shares a leaf with a probability above 0.999999 where one
 branching is enough, and 0.998 where three are needed.
 
-Sketches only propose. A proposed link counts once the full sets confirm it. As components are
-what is asked for, a comparison proposes the best links between different components, one per pair
-of components at first and four times as many in each later round, leaves out what failed before, and ends when nothing is
-left to propose. So no link between components is lost and no group lists all its pairs.
+Sketches only propose: leaves name the classes that have a likely link, these bring their full sets, and
+the sets decide. As components are what is asked for, a comparison tries the likeliest
+links first and passes over what is joined already, so no group lists all its pairs. The first trees'
+leaves are compared first; the others then look at pairs of different components that have not met before.
 
 A null or empty text, and one without words, has no set and is linked with nothing. Rows without a
 doc_id are left out. Rows with the same doc_id and different texts are one node, linked through either.
@@ -38,17 +38,20 @@ TREES = 12
 FIRST_TREES = 2  # whose leaves are compared before the others
 LEAF = 1_000
 DEPTH = 4
-# Share of equal places below which no link is sought: 5 standard deviations under the bound.
-LOWEST = 0.69
-MULTIPLIERS = mix(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+SLACK = 3.8  # standard deviations under the bound below which equal values of two sketches propose no link
+MULTIPLIERS = mix(np.arange(1, 2 * PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """The smallest value of the set under each of 128 hash functions, 32 bits each."""
-    least = np.full(PLACES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(s), 4096):
-        least = np.minimum(least, (s[i : i + 4096, None] * MULTIPLIERS).min(axis=0))
-    return (least >> np.uint64(32)).astype("<u4").tobytes()
+    """The smallest value of the set under each of 256 hash functions.
+
+    Of the first 128, by which trees branch, 32 bits each; of the others 8, for comparisons only.
+    """
+    least = np.full(2 * PLACES, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(s), 1024):
+        least = np.minimum(least, (s[i : i + 1024, None] * MULTIPLIERS).min(axis=0))
+    narrow = (mix(least[PLACES:]) >> np.uint64(56)).astype(np.uint8)
+    return (least[:PLACES] >> np.uint64(32)).astype("<u4").tobytes() + narrow.tobytes()
 
 
 def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -68,17 +71,17 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return given.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary")
 
 
-def _children(rows: DataFrame) -> DataFrame:
+def _children(rows: DataFrame, percent: int) -> DataFrame:
     """(node, tree, rep) one level down, of (node, tree, rep, sketch)."""
     schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("rep", pa.int64())])
-    extra = 100 / PERCENT - 1  # how often a node chooses a second place
+    extra = 100 / percent - 1  # how often a node chooses a second place
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             node = b.column(0).to_numpy().view(np.uint64)
-            marks = np.frombuffer(b"".join(b.column(3).to_pylist()), "<u4").reshape(-1, PLACES)
+            marks = np.array([np.frombuffer(x, "<u4", PLACES) for x in b.column(3).to_pylist()])
             first = mix(node ^ np.uint64(0xA5A5A5A5A5A5A5A5))
             places = [(first % np.uint64(PLACES), np.ones(len(node), bool))]
             second = (places[0][0] + np.uint64(1) + (first >> np.uint64(20)) % np.uint64(PLACES - 1)) % np.uint64(PLACES)
@@ -92,14 +95,14 @@ def _children(rows: DataFrame) -> DataFrame:
     return rows.select("node", "tree", "rep", "sketch").mapInArrow(run, "node long, tree int, rep long")
 
 
-def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
     """(node, tree, size, rep) of all nodes that are to be compared, each set of classes once.
 
     Nodes above ``leaf`` are those that still hold too many after ``depth`` branchings.
     """
     roots = F.explode(F.array(*(F.lit(i) for i in range(trees)))).alias("tree")
     rows = classes.select(roots, "rep", "sketch").select(F.xxhash64(F.lit("root"), "tree").alias("node"), "tree", "rep", "sketch")
-    level = store(_children(rows), "level")
+    level = store(_children(rows, percent), "level")
     found = []
     for d in range(1, depth + 1):
         sizes = level.groupBy("node").agg(
@@ -110,114 +113,116 @@ def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, depth: int
         once = small.groupBy("size", "members").agg(F.min_by("node", F.struct("tree", "node")).alias("node"), F.min("tree").alias("tree"))
         found.append(level.select("node", "rep").join(once.select("node", "tree", "size"), "node"))
         if d < depth:
-            large = level.join(held.where(F.col("size") > leaf).select("node"), "node").join(classes.select("rep", "sketch"), "rep")
-            level = store(_children(large), "level")
-            if level.isEmpty():
+            more = store(held.where(F.col("size") > leaf).select("node"), "nodes")
+            if more.isEmpty():
                 break
+            large = level.join(more, "node").join(classes.select("rep", "sketch"), "rep")
+            level = store(_children(large, percent), "level")
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
     return store(out.select("node", "tree", "size", "rep"), "leaves")
 
 
-def _propose(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, marks: np.ndarray, failed: list, most: int):
-    """Likely links between different components, the best first, ``most`` for each pair of components."""
-    _, comp_at, counts = np.unique(comp, return_inverse=True, return_counts=True)
-    if len(counts) < 2:
-        return
-    # every link has an end outside the largest component
-    outside = np.flatnonzero(comp_at != counts.argmax())
-    inside = np.zeros(len(rep), bool)
-    inside[outside] = True
-    found = []
-    for i in outside.tolist():
-        others = np.flatnonzero((comp_at != comp_at[i]) & (~inside | (np.arange(len(rep)) > i)))
-        small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
-        others = others[100 * small >= PERCENT * large]
-        if not len(others):
-            continue
-        same = (marks[others] == marks[i]).sum(axis=1)
-        for k in np.flatnonzero(same >= LOWEST * PLACES).tolist():
-            a, b = sorted((int(rep[i]), int(rep[others[k]])))
-            if a != b:
-                found.append((-int(same[k]), a, b, i, int(others[k])))
-    found.sort()
-    gone = {(int(rep[i]), x) for i, f in enumerate(failed) if f is not None for x in f}
-    owner = np.arange(len(counts))
-
-    def root(x):
-        while owner[x] != x:
-            owner[x] = owner[owner[x]]
-            x = owner[x]
-        return x
-
-    given: dict[tuple[int, int], int] = {}
-    for _, a, b, i, k in found:
-        if (a, b) in gone:
-            continue
-        x, y = int(comp_at[i]), int(comp_at[k])
-        pair = (min(x, y), max(x, y))
-        if most == 1:  # a forest is enough: each link would join two trees of it
-            x, y = root(x), root(y)
-            if x != y:
-                owner[x] = y
-                yield a, b
-        elif given.get(pair, 0) < most:
-            given[pair] = given.get(pair, 0) + 1
-            yield a, b
-
-
-def proposals(rows: DataFrame, most: int) -> DataFrame:
-    """(a, b) of (key, rep, n_shingles, comp, sketch, failed): compares the rows of each key."""
+class Group:
+    """Classes that are compared with one another, and their likely links."""
+
+    def __init__(self, g: pa.Table, percent: int):
+        self.percent = percent
+        self.rep, self.n, self.comp = (g.column(c).to_numpy() for c in ("rep", "n_shingles", "comp"))
+        raw = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint8).reshape(-1, 5 * PLACES)
+        self.wide = np.ascontiguousarray(raw[:, : 4 * PLACES]).view("<u4")
+        self.narrow = raw[:, 4 * PLACES :]
+        self.done = g.column("done").to_pylist()
+
+    def likely(self) -> np.ndarray:
+        """Rows (equal places, i, k) of pairs of different components that were not compared before."""
+        _, at, counts = np.unique(self.comp, return_inverse=True, return_counts=True)
+        found = [np.zeros((0, 3), np.int64)]
+        percent, p = self.percent, self.percent / 100
+        lowest = 2 * PLACES * (p - SLACK * (p * (1 - p) / (2 * PLACES)) ** 0.5)
+        if len(counts) > 1:
+            # of components, one end of every link is outside the largest
+            inner = at == counts.argmax()
+            place = np.arange(len(at))
+            for i in np.flatnonzero(~inner).tolist():
+                k = np.flatnonzero((at != at[i]) & (inner | (place > i)))
+                k = k[100 * np.minimum(self.n[k], self.n[i]) >= percent * np.maximum(self.n[k], self.n[i])]
+                same = (self.wide[k] == self.wide[i]).sum(axis=1) + (self.narrow[k] == self.narrow[i]).sum(axis=1)
+                hit = same >= lowest
+                k, same = k[hit], same[hit]
+                mine = set(self.done[i] or ())
+                if mine:
+                    new = np.array([mine.isdisjoint(self.done[x] or ()) for x in k.tolist()], bool)
+                    k, same = k[new], same[new]
+                found.append(np.column_stack([same, np.full(len(k), i), k]).astype(np.int64))
+        return np.concatenate(found)
+
+
+def _likely(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(key, rep) of all classes that a comparison under the key would have to look at."""
+    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
+
+    def run(batches):
+        for g in groups(batches, "key"):
+            group = Group(g, percent)
+            pairs = group.likely()
+            if len(pairs):
+                rep = np.unique(group.rep[pairs[:, 1:].ravel()])
+                yield batch(schema.names, [np.full(len(rep), g.column("key")[0].as_py()), rep], schema)
+
+    return rows.repartition(n, "key").sortWithinPartitions("key", "rep").mapInArrow(run, "key long, rep long")
+
+
+def _confirmed(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b) of rows with full sets: the likely links that the sets confirm and that join two components.
+
+    The likeliest are tried first; a pair that is joined by then needs no look.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for g in groups(batches, "key"):
-            rep, n, comp = (g.column(c).to_numpy() for c in ("rep", "n_shingles", "comp"))
-            marks = np.frombuffer(b"".join(g.column("sketch").to_pylist()), "<u4").reshape(-1, PLACES)
-            links = list(_propose(rep, n, comp, marks, g.column("failed").to_pylist(), most))
+            group = Group(g, percent)
+            pairs = group.likely()
+            full = [np.frombuffer(x, np.uint64) for x in g.column("shingles").to_pylist()]
+            owner: dict[int, int] = {}
+
+            def root(x, owner=owner):
+                while owner.get(x, x) != x:
+                    owner[x] = owner.get(owner[x], owner[x])
+                    x = owner[x]
+                return x
+
+            links = []
+            comp, rep = group.comp.tolist(), group.rep.tolist()
+            for _, i, k in pairs[np.argsort(-pairs[:, 0], kind="stable")].tolist():
+                x, y = root(comp[i]), root(comp[k])
+                if x == y:
+                    continue
+                common = len(np.intersect1d(full[i], full[k], assume_unique=True))
+                if 100 * common >= percent * (len(full[i]) + len(full[k]) - common):
+                    owner[x] = y
+                    links.append((rep[i], rep[k]))
             if links:
                 yield batch(schema.names, zip(*links, strict=True), schema)
 
-    placed = rows.repartition(partitions(rows), "key").sortWithinPartitions("key", "rep")
-    return placed.mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(n, "key").sortWithinPartitions("key", "rep").mapInArrow(run, "a long, b long")
 
 
-def confirm(docs: DataFrame, links: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(a, b, linked) of (a, b): compares the full sets of both classes."""
-    ends = links.select(F.col("a").alias("doc_id"), "a", "b").unionByName(links.select(F.col("b").alias("doc_id"), "a", "b"))
-    given = texts(docs)
-    wanted = ends.select("doc_id").distinct()
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+def _full(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(rep, shingles): the sets of the wanted classes."""
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
-    def full(batches):
+    def run(batches):
         for b in batches:
             ids, items = b.column(0), b.column(1).to_pylist()
             for i in range(0, len(items), 500):
                 found = [s.tobytes() for s in sets(items[i : i + 500], width)]
                 yield batch(schema.names, [ids.slice(i, len(found)), found], schema)
 
-    whole = given.join(wanted, "doc_id", "left_semi").mapInArrow(full, "doc_id long, shingles binary")
-    pairs = ends.join(whole, "doc_id").select(F.xxhash64("a", "b").alias("key"), "a", "b", "doc_id", "shingles")
-    answer = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
-
-    def compare(batches):
-        for g in groups(batches, "key"):
-            by: dict[tuple[int, int], dict[int, list]] = {}
-            for a, b, d, raw in zip(*(g.column(c).to_pylist() for c in ("a", "b", "doc_id", "shingles")), strict=True):
-                by.setdefault((a, b), {}).setdefault(d, []).append(np.frombuffer(raw, np.uint64))
-            out = []
-            for (a, b), ends in by.items():
-                linked = False
-                for x in ends.get(a, []):
-                    for y in ends.get(b, []):
-                        common = len(np.intersect1d(x, y, assume_unique=True))
-                        linked |= 100 * common >= percent * (len(x) + len(y) - common)
-                out.append((a, b, bool(linked)))
-            yield batch(answer.names, zip(*out, strict=True), answer)
-
-    placed = pairs.repartition(partitions(pairs), "key").sortWithinPartitions("key")
-    return placed.mapInArrow(compare, "a long, b long, linked boolean")
+    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    return texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "rep long, shingles binary")
 
 
 def _keys(held: DataFrame, first: bool, leaf: int) -> DataFrame:
@@ -250,43 +255,37 @@ def _keys(held: DataFrame, first: bool, leaf: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per row of ``docs`` with a doc_id."""
+    n = partitions(texts(docs))
     marks = store(sketches(docs, width), "sketches")
     classes = marks.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
     classes = store(classes, "classes")
-    nodes = leaves(classes, trees, leaf)
-    labels = None  # (rep, comp) of classes that are not their component's smallest
-    links = failed = None
-    turn = 0
-    while True:
-        held = nodes.where(F.col("tree") < FIRST_TREES) if turn == 0 else nodes
-        comp = F.col("rep") if labels is None else F.coalesce("comp", "rep")
-        held = held if labels is None else held.join(labels, "rep", "left")
-        held = held.select("node", "size", "rep", comp.alias("comp"))
-        mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-        held = held.join(mixed.select("node"), "node", "left_semi")
-        rows = _keys(held, turn == 0, leaf).join(classes.select("rep", "n_shingles", "sketch"), "rep")
-        if failed is None:
-            rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
+    sketched = classes.select("rep", "n_shingles", "sketch")
+    nodes = leaves(classes, percent, trees, leaf)
+    links = labels = done = None  # labels: (rep, comp) of classes that are not their component's smallest
+    for first in (True, False):
+        held = nodes.where(F.col("tree") < FIRST_TREES) if first else nodes
+        if first:
+            held = held.withColumn("comp", F.col("rep"))
         else:
-            bad = failed.groupBy("a").agg(F.collect_set("b").alias("failed"))
-            rows = rows.join(bad.withColumnRenamed("a", "rep"), "rep", "left")
-        asked = store(proposals(rows, 4 ** max(0, turn - 1)), "asked")
-        if asked.isEmpty():
-            if turn:
-                break
-            turn = 1
-            continue
-        answers = store(confirm(docs, asked, width, percent), "answers")
-        yes, no = answers.where("linked").select("a", "b"), answers.where("NOT linked").select("a", "b")
-        links = yes if links is None else links.unionByName(yes)
-        failed = no if failed is None else failed.unionByName(no)
+            held = held.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+            held = held.join(mixed.select("node"), "node", "left_semi")
+        dealt = _keys(held, first, leaf)
+        rows = dealt.join(sketched, "rep")
+        if first:
+            done = dealt.groupBy("rep").agg(F.collect_set("key").alias("done"))
+            rows = rows.withColumn("done", F.lit(None).cast("array<long>"))
+        else:
+            rows = rows.join(done, "rep", "left")
+        asked = store(_likely(rows, n, percent), "asked")
+        full = _full(docs, asked, width)
+        sure = _confirmed(rows.join(asked, ["key", "rep"], "left_semi").join(full, "rep"), n, percent)
+        sure = store(sure, "sure")
+        links = sure if links is None else links.unionByName(sure)
         labels = components(links).select(F.col("a").alias("rep"), F.col("b").alias("comp"))
-        turn += 1
     out = marks.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
-    comp = F.coalesce("rep", "doc_id")
-    if labels is not None:
-        out = out.join(labels, "rep", "left")
-        comp = F.coalesce("comp", "rep", "doc_id")
+    comp = F.coalesce("comp", "rep", "doc_id")
+    out = out.join(labels, "rep", "left")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -51,25 +52,33 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def sampled(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows, or all where there are fewer: those whose doc_id has a small hash.
+
+    The bound on the hash comes from a count, so tasks pass on no more than is asked for in all.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    parts = 1 << 30
+    return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < int(parts * rows / n))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int, chars: int
 ) -> list[tuple[str, int]]:
-    """At most ``rows`` (text, label) of either class, at most ``chars`` of each text.
+    """About ``rows`` (text, label) of either class, at most ``chars`` of each text.
 
-    Rows are those with the smallest hash of their id, so the sample does not depend on
-    the partitions. Rows without an id, a text or a label of 0 or 1 take no part.
+    The sample does not depend on the partitions. Rows without an id, a text or a label of 0 or 1
+    take no part.
     """
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    given = given.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep)
-    out: list[tuple[str, int]] = []
+    given = given.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep).dropDuplicates(["doc_id"])
+    ids = sampled(given.where("label = 0"), rows).unionByName(sampled(given.where("label = 1"), rows))
     body = texts(docs).where("text <> ''").select("doc_id", F.substring("text", 1, chars).alias("text"))
-    for value in (0, 1):
-        # twice as many ids as rows, as an id may have no text here
-        ids = given.where(F.col("label") == value).dropDuplicates(["doc_id"])
-        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
-        got = body.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
-        out += [(r["text"], r["label"]) for r in got.select("text", "label").collect()]
-    return out
+    # ids are at most some 2 * rows, a known bound
+    got = body.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
+    return [(r["text"], r["label"]) for r in sorted(got, key=lambda r: (crc32(str(r["doc_id"]).encode()), r["doc_id"], r["text"]))]
 
 
 def share(labels: DataFrame, label: str, keep: Column) -> float | None:

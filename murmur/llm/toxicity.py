@@ -25,6 +25,8 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmur.llm.common import batch, labelled_sample, logistic, share, sigmoid, texts, to_share
 
@@ -174,6 +176,13 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic",
     return Model(entries, spared, to_share(w, y, prior), prior)
 
 
+def _scores(finder: Finder, model: Model, items: list[str]) -> tuple[list, np.ndarray]:
+    found = [finder.find(t) for t in items]
+    if model.weights and found:
+        return found, sigmoid(model.weights[0] + _columns(found) @ np.array(model.weights[1:]))
+    return found, np.full(len(found), model.prior)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, hits, density, score) of every whole text."""
     schema = pa.schema(
@@ -183,11 +192,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         finder = Finder(model)
         for b in batches:
-            found = [finder.find(t) for t in b.column(1).to_pylist()]
-            if model.weights:
-                p = sigmoid(model.weights[0] + _columns(found) @ np.array(model.weights[1:]))
-            else:
-                p = np.full(len(found), model.prior)
+            found, p = _scores(finder, model, b.column(1).to_pylist())
             yield batch(schema.names, [b.column(0), [n for n, _ in found], [d for _, d in found], p], schema)
 
     return texts(docs).mapInArrow(run, SCHEMA)
+
+
+def score_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """(row, score): every row of the table with all its columns in ``row``, and its score."""
+    packed = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches):
+        finder = Finder(model)
+        for b in batches:
+            p = _scores(finder, model, b.column(1).to_pylist())[1]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, pa.float64())], ["row", "score"])
+
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
