@@ -38,7 +38,8 @@ AROUND = LENGTH - ANCHOR  # bytes kept before an anchor
 SPAN = AROUND + LENGTH
 CHUNK_BYTES = 4 << 20
 SLICE = 1 << 19
-STRINGS_AT_ONCE = 2_000_000
+STRINGS_AT_ONCE = 400_000
+HASH_BITS = 48  # of an anchor; a chance meeting costs a look at the bytes, no more
 CHUNKS = "chunk long, ids binary, sizes binary, body binary"
 UNITS = "bucket int, chunk long, body binary"
 OUT = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
@@ -59,6 +60,15 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Ascending whole numbers as their differences, byte by byte: high bytes are all zero."""
+    return np.diff(x.astype(np.uint64), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.copy()
+
+
+def _climb(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel())
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """Texts in rows of some megabytes: ids, sizes and the bytes behind one another."""
     schema = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("body", pa.binary())])
@@ -113,7 +123,7 @@ class Chunk:
             raw = self.flat[at[i : i + (1 << 16), None] + np.arange(24).clip(max=ANCHOR - 1)]
             raw[:, ANCHOR:] = 0
             w = raw.view(np.uint64).reshape(-1, 3)
-            out[i : i + (1 << 16)] = mix(mix(mix(w[:, 0]) + w[:, 1]) + w[:, 2])
+            out[i : i + (1 << 16)] = mix(mix(mix(w[:, 0]) + w[:, 1]) + w[:, 2]) >> np.uint64(64 - HASH_BITS)
         return at, out
 
 
@@ -150,7 +160,7 @@ def _anchors(flat: np.ndarray, whole: np.ndarray) -> np.ndarray:
 
 
 def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
-    return (hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
+    return (hashes >> np.uint64(HASH_BITS - 32)) * np.uint64(n) >> np.uint64(32)
 
 
 def _by_bucket(sorted_hashes: np.ndarray, n: int):
@@ -184,7 +194,7 @@ def _hash_units(packed: DataFrame, n: int) -> DataFrame:
                 last = np.append(first[1:], len(h)) - 1
                 several = ids[first] != ids[last]
                 h = h[first]
-                yield _units([(k, chunk, _pack(h[i:j], several[i:j])) for k, i, j in _by_bucket(h, n)])
+                yield _units([(k, chunk, _pack(_steps(h[i:j]), np.packbits(several[i:j]), np.array([j - i]))) for k, i, j in _by_bucket(h, n)])
 
     return packed.mapInArrow(run, UNITS)
 
@@ -198,7 +208,10 @@ def _shared(units: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for g in groups(batches, "bucket"):
-            chunk, got = g.column("chunk").to_pylist(), [_unpack(x, "u8", "?") for x in g.column("body").to_pylist()]
+            chunk, got = g.column("chunk").to_pylist(), []
+            for x in g.column("body").to_pylist():
+                steps, several, size = _unpack(x, "u1", "u1", "i8")
+                got.append((_climb(steps), np.unpackbits(several, count=int(size[0])).astype(bool)))
             h = np.concatenate([x for x, _ in got])
             order = np.argsort(h, kind="stable")
             s = h[order]
@@ -211,7 +224,7 @@ def _shared(units: DataFrame, n: int) -> DataFrame:
                 mask = twice[at : at + len(x)] | several
                 at += len(x)
                 if mask.any():
-                    rows.append((bucket, c, _pack(x[mask])))
+                    rows.append((bucket, c, _pack(np.array([bucket]), np.packbits(mask))))
             if rows:
                 yield _units(rows)
 
@@ -253,20 +266,31 @@ def _places(joined: DataFrame, n: int) -> DataFrame:
         for chunk, c, bodies in _opened(batches):
             if not bodies:
                 continue
-            wanted = np.sort(np.concatenate([_unpack(x, "u8")[0] for x in bodies]))
+            answers = {int(k[0]): m for k, m in (_unpack(x, "i8", "u1") for x in bodies)}
             at, h = c.anchors()
-            k = np.searchsorted(wanted, h)
-            k[k == len(wanted)] = 0
-            keep = wanted[k] == h
-            at, h = at[keep], h[keep]
-            order = np.argsort(h, kind="stable")
-            at, h = at[order], h[order]
+            u, which = np.unique(h, return_inverse=True)
+            shared = np.zeros(len(u), bool)
+            spans = {k: (i, j) for k, i, j in _by_bucket(u, n)}
+            for k, mask in answers.items():
+                i, j = spans[k]
+                shared[i:j] = np.unpackbits(mask, count=j - i)
+            keep = shared[which]
+            at, k = at[keep], _buckets(h[keep], n)
+            order = np.argsort(k, kind="stable")  # places stay in order within a bucket
+            at, k = at[order], k[order]
             rows = []
-            for bucket, i, j in _by_bucket(h, n):
-                text = np.ascontiguousarray(_around(c, at[i:j]))
-                u, which = np.unique(text.view(whole).ravel(), return_inverse=True)
-                ids = c.ids[c.owners(at[i:j])]
-                rows.append((bucket, chunk, _pack(u.view(np.uint8), which.astype(np.uint32), at[i:j].astype(np.uint32), ids)))
+            cuts = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(k)], strict=True):
+                text = np.ascontiguousarray(_around(c, at[i:j])).view(whole).ravel()
+                _, first, same = np.unique(text, return_index=True, return_inverse=True)
+                # surroundings in the order of their first places, as they compress best
+                place = np.argsort(np.argsort(first))
+                u8 = text[np.sort(first)].view(np.uint8)
+                ahead = (place[same] - np.arange(j - i)).astype(np.int32)
+                owner = c.owners(at[i:j])
+                docs, docs_at = np.unique(owner, return_index=True)
+                body = _pack(u8, ahead, _steps(at[i:j]), docs_at.astype(np.int64), c.ids[docs])
+                rows.append((int(k[i]), chunk, body))
             if rows:
                 yield _units(rows)
 
@@ -317,8 +341,13 @@ def _earlier(units: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for g in groups(batches, "bucket"):
-            got = [_unpack(x, "u1", "u4", "u4", "i8") for x in g.column("body").to_pylist()]
-            text = np.concatenate([x[0] for x in got]).view(whole)
+            got = []
+            for x in g.column("body").to_pylist():
+                around, ahead, steps, docs_at, ids = _unpack(x, "u1", "i4", "u1", "i8", "i8")
+                at = _climb(steps)
+                owner = np.repeat(ids, np.diff(np.append(docs_at, len(at))))
+                got.append((around, ahead + np.arange(len(at)), at.astype(np.uint32), owner))
+            text = np.concatenate([x[0] for x in got]).view(whole).ravel()
             offsets = np.cumsum([0, *(len(x[0]) // (SPAN + 2) for x in got)])
             u, merged = np.unique(text, return_inverse=True)
             which = [merged[a + x[1].astype(np.int64)] for a, x in zip(offsets, got, strict=False)]
