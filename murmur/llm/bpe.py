@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from murmur.llm.common import runs, texts
 
-CHARS_AT_ONCE = 8 << 20
+CHARS_AT_ONCE = 4 << 20
 WORDS_KEPT = 300_000  # encoded words a worker remembers; it forgets all of them beyond that
 
 # Fixed value: how the vocabulary splits text into words.
@@ -42,6 +43,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+# The same for texts of ASCII alone, which most are.
+PLAIN_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+
+
+def split_words(text: str) -> list[str]:
+    return PLAIN_WORDS.findall(text) if text.isascii() else WORDS.findall(text)
+
+
 class Vocabulary:
     """Merge table and token bytes of a byte-level BPE file."""
 
@@ -160,13 +169,13 @@ class Encoder:
         """Words of the text; an added token is a part of its own, with its id known."""
         v = self.v
         if v.split_added is None or not v.split_added.search(text):
-            return WORDS.findall(text)
+            return split_words(text)
         out, at = [], 0
         for m in v.split_added.finditer(text):
             # \0 marks the part as a token: no word but one of the text itself starts so
-            out += [*WORDS.findall(text[at : m.start()]), ("\0", m.group())]
+            out += [*split_words(text[at : m.start()]), ("\0", m.group())]
             at = m.end()
-        return out + WORDS.findall(text[at:])
+        return out + split_words(text[at:])
 
     def encode(self, items: list[str]) -> list[np.ndarray]:
         """Ids (unsigned 32 bits) of each text."""
@@ -184,7 +193,7 @@ class Encoder:
         for w in new:
             if not isinstance(w, str):
                 known[w] = np.uint32(self.v.added[w[1]]).astype("<u4").tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -210,23 +219,41 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
+
+
+def text_of(table: list[bytes], ids: list[int]) -> str:
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")
+
+
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text): the text of every row of ids."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
     def run(batches):
         table = vocabulary(path).bytes
         size = len(table)
         for b in batches:
-            out = []
-            for x in b.column(1):
-                ids = x.values
-                if ids is None:
-                    out.append("")
-                    continue
-                raw = b"".join([table[i] for i in ids.to_pylist() if i is not None and 0 <= i < size])
-                out.append(raw.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(schema.field(1).type), pa.array(out, pa.string())], schema=schema)
+            rows = ([i for i in x if i is not None and 0 <= i < size] if x else [] for x in b.column(1).to_pylist())
+            out = pa.array([text_of(table, x) for x in rows], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(DECODED.field(1).type), out], schema=DECODED)
 
     given = tokens.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids"))
     return given.mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text): ids of every whole text, and the text decoded from these ids, in one task."""
+
+    def run(batches):
+        table = vocabulary(path).bytes
+        for b in batches:
+            items, ids = b.column(1).to_pylist(), b.column(0)
+            for i, j in runs(items, CHARS_AT_ONCE):
+                found = encoder(path).encode(items[i:j])
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                flat = pa.array(np.concatenate(found).astype(np.int32))
+                back = pa.array([text_of(table, x.tolist()) for x in found], pa.string())
+                columns = [ids.slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), flat), back]
+                yield pa.RecordBatch.from_arrays(columns, schema=DECODED)
+
+    return texts(docs).mapInArrow(run, "doc_id long, ids array<int>, text string")
