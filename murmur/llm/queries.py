@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, chosen_path, langid, quality, suffix_dedup, tokenfile, toxicity
-from murmur.llm.common import fold, new_folder
+from murmur.llm import bpe, chat, chosen_path, forest, langid, quality, suffix_dedup, template, tokenfile, toxicity
+from murmur.llm.common import fold, new_folder, sampled
 from murmur.session import SETTINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +24,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def prepare(spark: SparkSession) -> None:
+    """The library's settings, and batches that hold some megabytes of text rather than tens."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key, value in SETTINGS.items():
-            spark.conf.set(key, value)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
@@ -80,6 +86,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, model), 2, 4)
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -90,7 +101,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
-    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    done = bpe.round_trip(table(spark, sf_dir, "documents"), path)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -107,6 +118,49 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+# How transcripts of the conversations name their speakers; in the last style nobody is named.
+STYLES = (
+    {"system": "System: ", "user": "User: ", "assistant": "Assistant: "},
+    {"system": "Instructions: ", "user": "Human: ", "assistant": "AI: "},
+    {"system": "[system] ", "user": "[user] ", "assistant": "[assistant] "},
+    {"system": "Context: ", "user": "Q: ", "assistant": "A: "},
+    {"system": "<|system|> ", "user": "<|user|> ", "assistant": "<|assistant|> "},
+    {},
+)
+TURNS_IN_PART = 64
+
+
+def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, turn, role, line): the turns of all conversations as a plain transcript has them."""
+    c = table(spark, sf_dir, "conversations")
+    style = F.crc32(F.col("conv_id").cast("string").cast("binary")) % len(STYLES)
+    mark = F.lit("")
+    for i, names in enumerate(STYLES):
+        for role, name in names.items():
+            mark = F.when((style == i) & (F.col("role") == role), name).otherwise(mark)
+    lead = F.when(style >= 3, "\n").otherwise("")
+    return c.select("conv_id", "turn", "role", F.concat(lead, mark, F.coalesce("text", F.lit(""))).alias("line"))
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spoken(spark, sf_dir)
+    known = lines.select(F.col("conv_id").cast("long").alias("doc_id"), "turn", "role", "line").where("doc_id IS NOT NULL")
+    picked = sampled(known.select("doc_id").distinct(), chat.SAMPLE)
+    labelled: dict[int, list] = {}
+    for r in known.join(picked, "doc_id").orderBy("doc_id", "turn", "line").collect():
+        labelled.setdefault(r["doc_id"], []).append((r["role"], r["line"]))
+    part = F.floor(F.coalesce("turn", F.lit(0)) / TURNS_IN_PART).alias("part")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "line")))
+    parts = lines.groupBy("conv_id", part).agg(F.array_join(F.transform(turns, lambda t: t["line"]), "\n").alias("text"))
+    return chat.render(chat.parse(parts, chat.fit(list(labelled.values()))))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))

@@ -46,12 +46,13 @@ def test_tables(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(5, TEXTS[5]), (None, "no id"), (100, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS ids", "'x' AS lang")
     tokens = bpe.encode(docs, PATH)
-    got = sorted(((r.doc_id, r.ids, r.text) for r in bpe.decode(tokens, PATH).collect()), key=repr)
+    got = sorted(map(tuple, bpe.decode(tokens, PATH).collect()), key=repr)
     want = []
     for i, t in rows:
         ids = LIBRARY.encode(t or "", add_special_tokens=False).ids
         want.append((i, ids, LIBRARY.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want, key=repr)
+    assert sorted(map(tuple, bpe.round_trip(docs, PATH).collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_decode_of_any_ids(spark):
