@@ -34,7 +34,8 @@ from murmur.llm.common import batch, partitions, runs, texts
 END_ID = 2
 LEVEL = 3
 CHARS_AT_ONCE = 4 << 20
-CHUNKS_KEPT = 700_000
+CHUNKS_KEPT = 800_000
+MARK = "\x01"
 # Fixed values of the public zstandard formats.
 SKIPPABLE, SEEK_SKIPPABLE, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
@@ -54,6 +55,28 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        # a word of its own that parts pieces within one long text, if it has a single id
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _pieces(self, items: list[str]) -> list[bytes]:
+        """As ``_ids`` for pieces without spaces, with one call of the library for many."""
+        if self.mark is None:
+            return self._ids(items)
+        out: list[bytes] = []
+        for i in range(0, len(items), 5000):
+            some = items[i : i + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) != len(some) - 1:  # a piece holds the mark itself
+                out += self._ids(some)
+                continue
+            raw, start = ids.tobytes(), 0
+            for stop in (cuts * 4).tolist():
+                out.append(raw[start:stop])
+                start = stop + 4
+            out.append(raw[start:])
+        return out
 
     def _ids(self, items: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
@@ -63,15 +86,17 @@ class Encoder:
         if not self.by_piece:
             return self._ids(items)
         known = self.known
-        if len(known) > CHUNKS_KEPT:
-            known.clear()
+        if len(known) > CHUNKS_KEPT:  # short pieces come again most
+            self.known = known = {k: v for k, v in known.items() if len(k) <= 6}
+            if len(known) > CHUNKS_KEPT // 2:
+                known.clear()
         split = []
         for x in items:
             if x.isascii() and "<|" not in x:  # else case may matter
                 x = x.lower()
             split.append(x.replace("\n", " ").split(" "))
         new = list({p for pieces in split for p in pieces if p not in known})
-        known.update(zip(new, self._ids(new), strict=True))
+        known.update(zip(new, self._pieces(new), strict=True))
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 

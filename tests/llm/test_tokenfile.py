@@ -17,6 +17,7 @@ LIBRARY = Tokenizer.from_file(PATH)
 TEXTS = [
     "", "A b", None, "The CAT's <|endoftext|> x <|ENDOFTEXT|>", "ÉCOLE  Straße\tİstanbul ΣΑΣ ΟΔΟΣ", "é ́x",
     " nbsp　wide\x1cfs\x85nel", "日本語 🙂", "word " * 3000, "it's\nwe'll 12 345!!", "\r\n\r\n",
+    "a\x01b \x01 c", "\x01", "́x ́ y",
 ]
 
 
