@@ -3,7 +3,7 @@
 Suffixes are compared where they can have an equal, and nowhere else. A 50-byte string has 31 windows of 20
 bytes; the one with the smallest hash is its anchor, and equal strings have equal anchors. So:
 
-1. Texts are packed into chunks of some megabytes, stored in the shared folder.
+1. Texts are packed into chunks of some megabytes in files of the shared folder, where later steps read them.
 2. Each chunk sends the hashes of its anchors to the bucket of the hash, each hash once. The bucket answers
    which hashes also occur in another document.
 3. Each chunk sends the surroundings of these anchors (30 bytes before, 50 from the anchor on), equal
@@ -22,12 +22,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import batch, mix, partitions, store, texts
+from murmur.llm.common import batch, mix, new_folder, partitions, store, texts
 from murmur.llm.deep_shallow import equal_groups
 from murmur.llm.grouped import groups
 
@@ -40,7 +41,7 @@ CHUNK_BYTES = 4 << 20
 SLICE = 1 << 19
 STRINGS_AT_ONCE = 400_000
 HASH_BITS = 48  # of an anchor; a chance meeting costs a look at the bytes, no more
-CHUNKS = "chunk long, ids binary, sizes binary, body binary"
+CHUNKS = "chunk long, path string, offset long, size long"
 UNITS = "bucket int, chunk long, body binary"
 OUT = "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
 
@@ -69,42 +70,56 @@ def _climb(raw: np.ndarray) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel())
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """Texts in rows of some megabytes: ids, sizes and the bytes behind one another."""
-    schema = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("body", pa.binary())])
+def chunks(docs: DataFrame, folder: str) -> DataFrame:
+    """Pack texts into chunks of some megabytes, in one file of the shared folder per task.
 
-    def run(batches):
-        number = TaskContext.get().partitionId() << 32
-        ids, raw, total = [], [], 0
+    Returns where each chunk is. A task that runs again writes a file of its own and moves it into place.
+    """
+    schema = pa.schema([("chunk", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
 
-        def row():
-            body = zstandard.ZstdCompressor(level=1).compress(b"".join(raw))
+    def run(batches):
+        number, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        fs, inner = pafs.FileSystem.from_uri(folder)
+        name, draft = f"chunks-{number:06d}", f"draft-{number:06d}-{attempt}"
+        found, ids, raw, total, offset, out = [], [], [], 0, 0, None
+
+        def put():
+            nonlocal offset, out
+            if out is None:
+                fs.create_dir(inner, recursive=True)
+                out = fs.open_output_stream(f"{inner}/{draft}")
             sizes = np.array([len(x) for x in raw], np.int64)
-            return batch(schema.names, [[number], [np.array(ids, np.int64).tobytes()], [sizes.tobytes()], [body]], schema)
+            body = _pack(np.array(ids, np.int64), sizes, np.frombuffer(b"".join(raw), np.uint8))
+            out.write(body)
+            found.append((number << 32 | len(found), f"{folder}/{name}", offset, len(body)))
+            offset += len(body)
 
         for b in batches:
             for doc_id, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if total and total + len(x) > CHUNK_BYTES:
-                    yield row()
-                    number += 1
+                    put()
                     ids, raw, total = [], [], 0
                 ids.append(doc_id)
                 raw.append(x.encode("utf-8", "surrogatepass"))
                 total += len(raw[-1])
         if ids:
-            yield row()
+            put()
+            out.close()
+            fs.move(f"{inner}/{draft}", f"{inner}/{name}")
+            yield batch(schema.names, zip(*found, strict=True), schema)
 
     return texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, CHUNKS)
 
 
 class Chunk:
-    """The texts of a row of :func:`chunks`."""
+    """The texts of a chunk, read from its place."""
 
-    def __init__(self, ids: bytes, sizes: bytes, body: bytes):
-        self.ids, self.sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
+    def __init__(self, path: str, offset: int, size: int):
+        fs, inner = pafs.FileSystem.from_uri(path)
+        with fs.open_input_file(inner) as f:
+            self.ids, self.sizes, self.flat = _unpack(f.read_at(size, offset), "i8", "i8", "u1")
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
-        self.flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(body, int(self.ends[-1]) or 1), np.uint8)
 
     def owners(self, at: np.ndarray) -> np.ndarray:
         """Index of the text that each byte belongs to."""
@@ -233,18 +248,20 @@ def _shared(units: DataFrame, n: int) -> DataFrame:
 
 
 def _with_chunks(packed: DataFrame, answers: DataFrame, n: int) -> DataFrame:
-    """Chunks with the answers of all buckets, the chunk first."""
-    a = packed.select("chunk", F.lit(0).alias("kind"), "ids", "sizes", "body")
-    none = F.lit(None).cast("binary")
-    b = answers.select("chunk", F.lit(1).alias("kind"), none.alias("ids"), none.alias("sizes"), "body")
+    """Places of chunks with the answers of all buckets, the place first."""
+    a = packed.select("chunk", F.lit(0).alias("kind"), "path", "offset", "size", F.lit(None).cast("binary").alias("body"))
+    none = F.lit(None).cast("long")
+    b = answers.select(
+        "chunk", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("path"), none.alias("offset"), none.alias("size"), "body"
+    )
     return a.unionByName(b).repartition(n, "chunk").sortWithinPartitions("chunk", "kind")
 
 
 def _opened(batches):
     """(chunk, Chunk, bodies of its answers) of each chunk."""
     for g in groups(batches, "chunk"):
-        chunk, kind, ids, sizes, body = (c.to_pylist() for c in g.columns)
-        yield chunk[0], Chunk(ids[0], sizes[0], body[0]), body[1:]
+        chunk, kind, path, offset, size, body = (c.to_pylist() for c in g.columns)
+        yield chunk[0], Chunk(path[0], offset[0], size[0]), body[1:]
 
 
 def _around(c: Chunk, at: np.ndarray) -> np.ndarray:
@@ -406,13 +423,15 @@ def _cut(joined: DataFrame) -> DataFrame:
                 k = slice(some.start, some.stop)
                 yield batch(schema.names, [c.ids[k], c.sizes[k], spans, kept], schema)
 
-    return joined.select("chunk", "kind", "ids", "sizes", "body").mapInArrow(run, OUT)
+    return joined.mapInArrow(run, OUT)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans removed, kept bytes) of every row with a doc_id."""
     n = partitions(texts(docs))
-    packed = store(chunks(docs), "chunks")
-    shared = _shared(_hash_units(packed, n), n)
+    folder = new_folder(docs.sparkSession, "chunks")
+    # by rows, not by a hash of the chunk: few chunks would leave some tasks without work
+    packed = store(chunks(docs, folder), "places")
+    shared = _shared(_hash_units(packed.repartition(n), n), n)
     found = _earlier(_places(_with_chunks(packed, shared, n), n), n)
     return _cut(_with_chunks(packed, found, n))
