@@ -22,7 +22,7 @@ def kafka_envelope(spark, sf):
     # Any file format stands in for the broker; key and value arrive as bytes.
     path = scratch(spark, "messages")
     src.messages(spark, sf).write.parquet(path)
-    return io.read_messages(spark, "parquet", path=path)
+    return io.read_messages(spark, "parquet", path=path).drop("timestamp")
 
 
 @query(f"""WITH {MSG}
@@ -36,7 +36,7 @@ def json_parse_drop_bad(spark, sf):
 LATEST = MSG + """,
 last AS (
   SELECT topic, partition, "offset", key, CAST(json_extract_string(value, '$.k') AS BIGINT) AS k FROM (
-    SELECT *, row_number() OVER (PARTITION BY key ORDER BY partition DESC, "offset" DESC) AS r
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY timestamp DESC, partition DESC, "offset" DESC) AS r
     FROM messages WHERE json_valid(value)) WHERE r = 1)
 """
 
@@ -44,7 +44,7 @@ last AS (
 @query(f'WITH {LATEST} SELECT topic, partition, "offset", key, k FROM last')
 def upsert_latest_by_key(spark, sf):
     good, _ = ingest.parse_messages(src.messages(spark, sf), PROPS)
-    last = ingest.latest_by_key(good, ["key"], ["partition", "offset"])
+    last = ingest.latest_by_key(good, ["key"], ["timestamp", "partition", "offset"])
     return last.select("topic", "partition", "offset", "key", F.col("value.k").alias("k"))
 
 
@@ -52,22 +52,22 @@ def upsert_latest_by_key(spark, sf):
 UNION ALL SELECT topic, partition, "offset", key, value FROM messages WHERE topic = 'error'""")
 def append_messages(spark, sf):
     path = scratch(spark, "append")
-    rows = src.messages(spark, sf)
+    rows = src.messages(spark, sf).drop("timestamp")
     io.write_append(rows, path)
     io.write_append(rows.filter("topic = 'error'"), path)
     return spark.read.parquet(path)
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value,
+@query("""SELECT CAST(event_id AS VARCHAR) AS key, event_id, user_id, event_type, value, ts,
   CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS has_null
 FROM events""")
 def kafka_sink(spark, sf):
     props = F.when(F.col("event_type") != "error", F.col("props"))
     rows = src.table(spark, sf, "events").select(
-        "event_id", "user_id", "event_type", "value", props.alias("props")
+        "event_id", "user_id", "event_type", "value", "ts", props.alias("props")
     )
     sent = ingest.to_messages(rows, "event_id")
-    back = F.from_json("value", "event_id bigint, user_id bigint, event_type string, value double, props string")
+    back = F.from_json("value", "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz, props string", ingest.MICROS)
     kept = F.col("value").contains('"props":null').cast("int")
     return sent.select("key", kept.alias("has_null"), back.alias("v")).select("key", "v.*", "has_null")
 
@@ -77,10 +77,10 @@ def collection_scan(spark, sf):
     return io.scan(spark, f"{sf}/pages.parquet", ["url", "html"])
 
 
-@query("SELECT page_id, url FROM pages")
+@query("SELECT page_id, url, html FROM pages")
 def collection_copy(spark, sf):
     path = scratch(spark, "copy")
-    pages = src.table(spark, sf, "pages").select("page_id", "url")
+    pages = src.table(spark, sf, "pages")
     io.copy(pages.withColumn("_id", F.sha2("url", 256)), path)
     return spark.read.parquet(path)
 
@@ -106,11 +106,12 @@ def json_file_scan(spark, sf):
     return io.read_posts(spark, path).select("id", "title", "content")
 
 
-@query("SELECT CAST(event_id AS BIGINT) AS event_id, event_type, value FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def report_export(spark, sf):
     path = scratch(spark, "report")
-    io.export_csv(src.table(spark, sf, "events").select("event_id", "event_type", "value"), path)
-    return spark.read.schema("event_id bigint, event_type string, value double").option("header", True).csv(path)
+    events = src.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    io.export_csv(events, path)
+    return spark.read.schema(events.schema).options(header=True, escape='"', **ingest.MICROS).csv(path)
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

@@ -232,6 +232,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.when(F.col("event_id") % 89 != 0, F.col("user_id").cast("string")).alias("key"),
         F.when(F.col("event_id") % 97 == 0, cut).otherwise(props).alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
 
@@ -239,7 +240,7 @@ MESSAGES = """
 messages AS (
   SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
          CASE WHEN event_id % 89 <> 0 THEN CAST(user_id AS VARCHAR) END AS key,
-         CASE WHEN event_id % 97 = 0 THEN substr(props, 1, 4) ELSE props END AS value
+         CASE WHEN event_id % 97 = 0 THEN substr(props, 1, 4) ELSE props END AS value, ts AS timestamp
   FROM events)
 """
 

@@ -96,22 +96,25 @@ def new_comment_difference(spark, sf):
 @query(f"""WITH {MERGE},
 ends AS (SELECT url, max(pos) + 1 AS e FROM old GROUP BY url)
 SELECT url, pos, tag, "user", content, time FROM old
-UNION ALL SELECT f.url, f.pos + coalesce(e, 0), tag, "user", content, time FROM fresh f LEFT JOIN ends USING (url)""")
+UNION ALL SELECT f.url, row_number() OVER (PARTITION BY f.url ORDER BY f.pos) - 1 + coalesce(e, 0), tag, "user", content, time
+FROM fresh f LEFT JOIN ends USING (url)""")
 def merge_comments(spark, sf):
     return com.merge_comments(*_crawls(spark, sf)).drop("comment_id")
 
 
 @query(f"""WITH {src.POSTS},
 bad AS (SELECT url, min(pos) AS b FROM comments WHERE tag IS NULL GROUP BY url)
-SELECT url, count(*) FILTER (tag = '推') AS push, count(*) FILTER (tag = '噓') AS boo,
-       count(*) FILTER (tag NOT IN ('推', '噓')) AS arrow
-FROM comments LEFT JOIN bad USING (url) WHERE b IS NULL OR pos < b GROUP BY url""")
+SELECT p.url, count(*) FILTER (tag = '推' AND (b IS NULL OR pos < b)) AS push,
+       count(*) FILTER (tag = '噓' AND (b IS NULL OR pos < b)) AS boo,
+       count(*) FILTER (tag NOT IN ('推', '噓') AND (b IS NULL OR pos < b)) AS arrow
+FROM posts p LEFT JOIN comments c ON p.url = c.url LEFT JOIN bad ON p.url = bad.url GROUP BY p.url""")
 def push_counts(spark, sf):
-    return com.push_counts(src.comments(spark, sf))
+    return com.push_counts(src.comments(spark, sf), src.posts(spark, sf))
 
 
 @query(f"""WITH {src.POSTS}, n AS (SELECT url, count(*) AS n FROM comments GROUP BY url)
-SELECT url, 'ptt' AS source, publish_date, author, {CLEAN} AS content, n FROM posts JOIN n USING (url)""")
+SELECT url, CAST(0 AS BIGINT) AS chunk_no, CAST(1 AS BIGINT) AS chunks, 'ptt' AS source, publish_date, author, {CLEAN} AS content, n
+FROM posts JOIN n USING (url)""")
 def thread_envelope(spark, sf):
     raw = src.posts(spark, sf).select(
         F.col("url").alias("key"),
@@ -122,20 +125,28 @@ def thread_envelope(spark, sf):
         ).alias("value"),
     )
     articles = normalize_for_annotation(raw)
-    nested = com.nest_comments(src.comments(spark, sf), articles, keep_empty=False).drop("chunk_no")
+    nested = com.nest_comments(src.comments(spark, sf), articles, keep_empty=False)
     docs = com.thread_envelope(nested, "ptt")
     return docs.select(
-        "url", "data.source", "data.publish_date", "data.author", "data.content",
+        "url", "chunk_no", "data.chunks", "data.source", "data.publish_date", "data.author", "data.content",
         F.size("data.comments").cast("bigint").alias("n"),
     )
 
 
-@query("""SELECT user_id, event_type AS emoji,
-  CASE WHEN count(*) % 5 <> 0 THEN count(*) END AS n FROM events GROUP BY ALL""")
+@query("""WITH e AS (SELECT user_id, event_type, count(*) AS c FROM events GROUP BY ALL)
+SELECT user_id, event_type AS emoji, CASE WHEN c % 5 <> 0 THEN c END AS n,
+  CAST(CASE WHEN sum(c) OVER (PARTITION BY user_id) % 7 <> 0 THEN sum(c) OVER (PARTITION BY user_id) ELSE 0 END AS BIGINT) AS total
+FROM e""")
 def emoji_counts(spark, sf):
-    # Per user, how often each event type came up, as text in one map.
+    # Per user, how often each event type came up, as the text of a popup; some counts are no numbers.
     events = src.table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
     shown = F.when(F.col("n") % 5 != 0, F.col("n").cast("string")).otherwise("many")
-    pairs = F.collect_list(F.struct("event_type", shown.alias("shown")))
-    users = events.groupBy("user_id").agg(F.array(F.map_from_entries(pairs)).alias("emoji_type"))
-    return com.emoji_counts(users, url="user_id").select(F.col("url").alias("user_id"), "emoji", "n")
+    lines = F.collect_list(F.concat("event_type", F.lit("\n"), shown))
+    all_of = F.sum("n")
+    users = events.groupBy("user_id").agg(
+        F.array_join(lines, "\n").alias("popup"),
+        F.when(all_of % 7 != 0, all_of.cast("string")).otherwise("many").alias("shown"),
+    )
+    users = users.select("user_id", F.array(com.emoji_map(F.col("popup"))).alias("emoji_type"), com.emoji_total(F.col("shown")).alias("total"))
+    found = com.emoji_counts(users, url="user_id").withColumnRenamed("url", "user_id")
+    return found.join(users.select("user_id", "total"), "user_id")

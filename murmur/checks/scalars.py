@@ -47,9 +47,15 @@ def normalize_article(spark, sf):
 
 
 @query("""SELECT conv_id, turn, text AS content FROM conversations
-WHERE text IS NOT NULL AND text <> '' AND role IS NOT NULL AND role <> ''""")
+WHERE text IS NOT NULL AND text <> '' AND role IS NOT NULL AND role <> '' AND conv_id % 5 <> 0 AND turn % 3 <> 2 AND conv_id % 7 <> 0""")
 def reject_incomplete(spark, sf):
-    conv = src.table(spark, sf, "conversations").withColumnRenamed("text", "content")
+    # Some turns lose their text or their role.
+    conv = src.table(spark, sf, "conversations").withColumnRenamed("text", "content").withColumns(
+        {
+            "content": F.when(F.col("conv_id") % 5 == 0, "").when(F.col("turn") % 3 != 2, F.col("content")),
+            "role": F.when(F.col("conv_id") % 7 != 0, F.col("role")),
+        }
+    )
     return art.reject_incomplete(conv, ("content", "role")).select("conv_id", "turn", "content")
 
 
@@ -282,9 +288,8 @@ def signed_score(spark, sf):
     return src.table(spark, sf, "events").select("event_id", text.signed_score(label, F.col("value")).alias("score"))
 
 
-@query("""SELECT doc_id, len(string_split(text, chr(10))) AS n, string_split(text, chr(10))[-1] AS last FROM documents""")
+@query("""SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS place, unnest(string_split(text, chr(10))) AS tag FROM documents""")
 def hashtags(spark, sf):
     tags = text.hashtags(F.col("text"))
-    return src.table(spark, sf, "documents").select(
-        "doc_id", F.size(tags).cast("bigint").alias("n"), F.element_at(tags, -1).alias("last")
-    )
+    rows = src.table(spark, sf, "documents").select("doc_id", F.posexplode(tags).alias("place", "tag"))
+    return rows.withColumn("place", F.col("place").cast("bigint"))

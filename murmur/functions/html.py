@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -13,21 +14,8 @@ from murmur.functions.bind import once
 from murmur.functions.fixed import UNCATEGORISED, UNKNOWN
 from murmur.functions.text import first_non_empty, squeeze_text, strip
 
-# Fixed named entities; the ampersand comes last, so nothing is unescaped twice.
-ENTITIES = (
-    ("&nbsp;", "\xa0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&mdash;", "—"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&amp;", "&"),
-)
+# Characters of all named entities of HTML5, by their names without the semicolon.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"(?s)<[^>]*>"
 PARAGRAPH_OPEN = r"(?i)<p(?:\s[^>]*)?>"
@@ -40,30 +28,28 @@ def _code_point(n: Column) -> Column:
     return F.when(ok, F.decode(raw, "UTF-32")).otherwise(F.lit("�"))
 
 
-def _numeric_entities(c: Column) -> Column:
-    def piece(p: Column, i: Column) -> Column:
-        rest = F.substring(p, F.instr(p, ";") + 1, F.length(p))
-        decimal = F.substring_index(p, ";", 1).try_cast("bigint")
-        hexadecimal = F.conv(
-            F.regexp_extract(p, "^[xX]([0-9A-Fa-f]{1,6});", 1), 16, 10
-        ).try_cast("bigint")
-        return (
-            F.when(i == 0, p)
-            .when(p.rlike("^[0-9]{1,7};"), F.concat(_code_point(decimal), rest))
-            .when(p.rlike("^[xX][0-9A-Fa-f]{1,6};"), F.concat(_code_point(hexadecimal), rest))
-            .otherwise(F.concat(F.lit("&#"), p))
-        )
+def unescape(c: Column) -> Column:
+    """Resolve numeric and all named entities in one pass, so nothing is read twice.
 
-    decoded = F.array_join(F.transform(F.split(c, "&#"), piece), "")
-    return F.when(c.contains("&#"), decoded).otherwise(c)
+    The text is cut at its ampersands; what follows one is looked at by itself.
+    """
+    # One literal that Catalyst folds to a map, rather than thousands of them.
+    names = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in ENTITIES.items())), F.lit("\x01"), F.lit("\x02"))
 
+    def piece(p: Column, i: Column) -> Column:
+        body = F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        decimal = F.substring(body, 2, 7).try_cast("bigint")
+        hexadecimal = F.conv(F.substring(body, 3, 6), 16, 10).try_cast("bigint")
+        char = (
+            F.when(body.rlike("^#[xX]"), _code_point(hexadecimal))
+            .when(body.startswith("#"), _code_point(decimal))
+            .otherwise(F.try_element_at(names, body))
+        )
+        rest = F.substring(p, F.length(body) + 2, F.length(p))
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p)))
 
-def unescape(c: Column) -> Column:
-    """Resolve numeric entities and the named ones listed above."""
-    c = _numeric_entities(c)
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    decoded = F.array_join(F.transform(F.split(c, "&"), piece), "")
+    return F.when(c.rlike("&[#A-Za-z]"), decoded).otherwise(c)
 
 
 def visible(html: Column) -> Column:
@@ -82,6 +68,11 @@ def lines(html: Column) -> Column:
     return F.array_join(F.filter(nodes, lambda n: n != ""), "\n")
 
 
+def joined(html: Column) -> Column:
+    """Text of a fragment: every text node stripped, put together without a gap."""
+    return F.array_join(F.transform(F.split(html, TAG), lambda n: strip(unescape(n))), "")
+
+
 def element(html: Column, tag: str, attr: str = "") -> Column:
     """Inner HTML of the first ``tag`` whose attributes match, null if absent.
 
@@ -137,13 +128,27 @@ def paragraphs(html: Column) -> Column:
     return F.transform(inner, lambda p: plain(F.regexp_replace(p, PARAGRAPH_REST, "")))
 
 
-def without(html: Column, tags: Sequence[str], depth: int = 4) -> Column:
-    """Drop whole elements of the given tags, nested up to ``depth`` levels."""
+def without(html: Column, tags: Sequence[str]) -> Column:
+    """Drop whole elements of the given tags, nested to any depth.
+
+    The text is cut before each tag; a running depth of open elements tells which
+    pieces lie outside all of them. A closing tag that closes nothing is dropped alone.
+    """
     names = "|".join(tags)
-    innermost = rf"(?is)<({names})\b[^>]*>(?:(?!<(?:{names})\b).)*?</\1\s*>"
-    for _ in range(depth):
-        html = F.regexp_replace(html, innermost, "")
-    return html
+    opens, closes = rf"(?i)^<(?:{names})\b[^>]*>", rf"(?i)^</(?:{names})\s*>"
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        opened, closed = piece.rlike(opens), piece.rlike(closes)
+        depth = F.when(opened, acc["depth"] + 1).when(closed, F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"])
+        rest = F.when(closed, F.regexp_replace(piece, closes, "")).otherwise(piece)
+        kept = F.when((depth == 0) & ~opened, F.concat(acc["kept"], F.array(rest))).otherwise(acc["kept"])
+        return F.struct(depth.alias("depth"), kept.alias("kept"))
+
+    def outside(pieces: Column) -> Column:
+        return F.aggregate(pieces, start, step, lambda acc: F.array_join(acc["kept"], ""))
+
+    return once(F.split(html, rf"(?i)(?=</?(?:{names})\b)"), outside)
 
 
 def pushes(html: Column) -> Column:
@@ -210,7 +215,7 @@ ETTODAY = PageRules(
     scope=(("div", css_class("story")),),
     date=(("time", css_class("date")),),
     reporter=(("p", css_class("story_author")),),
-    body="text",
+    body="joined",
     reporter_rule="between",
     date_rule="raw",
     no_reporter="",
@@ -248,7 +253,7 @@ YAHOO = PageRules(
         ("[a-z]+", css_class("author-name")),
         ("[a-z]+", css_class("byline")),
     ),
-    body="text",
+    body="joined",
     reporter_rule="byline",
     date_rule="iso",
     no_reporter=None,
@@ -274,6 +279,7 @@ def read_article(html: Column, rules: PageRules) -> dict[str, Column]:
         "paragraphs": lambda: F.array_join(paragraphs(inner), "\n"),
         "text": lambda: plain(inner),
         "lines": lambda: lines(inner),
+        "joined": lambda: joined(inner),
     }[rules.body]()
     named = first_text(page, rules.reporter)
     reporter = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -16,18 +17,28 @@ from murmur.schema import ANNOTATION
 # What a model does: texts in, one (words, tags, [(entity, type)]) per text out.
 Annotator = Callable[[list[str]], list[tuple[list[str], list[str], list[tuple[str, str]]]]]
 
+# The model that this worker process has built last.
+MODELS: dict[str, Annotator] = {}
+
 
 def annotate(
     docs: DataFrame, factory: Callable[[], Annotator], url: str = "url", content: str = "content"
 ) -> DataFrame:
     """Run a model over all texts, batch by batch.
 
-    ``factory`` builds the model once per task. Only the two columns needed are
-    sent to Python, and empty texts are dropped before.
+    ``factory`` builds the model, once per worker process rather than per task. Only
+    the two columns needed are sent to Python, and empty texts are dropped before.
     """
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
+        # The pickled function is new in every task; the module's attributes are not.
+        import murmur.operators.annotate as here
+
+        if name not in here.MODELS:
+            here.MODELS.clear()
+            here.MODELS[name] = factory()
+        model = here.MODELS[name]
         for batch in batches:
             out = model(batch["content"].tolist())
             yield pd.DataFrame(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.functions.fixed import BOO_TAG, PUSH_TAG
@@ -71,8 +71,9 @@ def nest_comments(
 ) -> DataFrame:
     """Article rows with their comments as one array, in order of position.
 
-    Threads longer than ``chunk`` go on in further rows, numbered by ``chunk_no``.
-    ``keep_empty`` keeps articles without comments, with an empty array.
+    A document is keyed by (url, ``chunk_no``), for short threads and long ones alike:
+    every ``chunk`` positions begin the next one, and ``chunks`` is how many the
+    thread has. ``keep_empty`` keeps articles without comments, with an empty array.
     """
     number = F.floor(F.col("pos") / chunk).cast("bigint")
     body = [c for c in comments.columns if c not in ("url", "pos")]
@@ -93,7 +94,7 @@ def nest_comments(
         joined = joined.filter("comments is not null or _last is null").withColumn(
             "comments", F.coalesce("comments", empty)
         )
-    return joined.drop("_last")
+    return joined.withColumn("chunks", F.coalesce("_last", F.lit(0)).cast("bigint") + 1).drop("_last")
 
 
 def new_comments(old: DataFrame, new: DataFrame, body: Sequence[str] = BODY) -> DataFrame:
@@ -112,30 +113,55 @@ def new_comments(old: DataFrame, new: DataFrame, body: Sequence[str] = BODY) ->
 def merge_comments(old: DataFrame, new: DataFrame, body: Sequence[str] = BODY) -> DataFrame:
     """``old`` followed by what is new, thread by thread.
 
-    New comments are numbered from the end of the old thread on, in their order;
-    numbers may have gaps.
+    New comments are numbered from the end of the old thread on, one after the other
+    in their order, so a thread grows by what is new however often it is crawled.
     """
     ends = old.groupBy("url").agg((F.max("pos") + 1).alias("_end"))
-    added = salted_lookup(new_comments(old, new, body), ends, ["url"])
-    added = added.withColumn("pos", F.coalesce("_end", F.lit(0)) + F.col("pos")).drop("_end")
+    in_order = Window.partitionBy("url").orderBy("pos", *body)
+    added = new_comments(old, new, body).withColumn("pos", F.row_number().over(in_order) - 1)
+    added = salted_lookup(added, ends, ["url"])
+    added = added.withColumn("pos", (F.coalesce("_end", F.lit(0)) + F.col("pos")).cast("bigint")).drop("_end")
     return old.unionByName(added.select(*old.columns))
 
 
-def push_counts(comments: DataFrame) -> DataFrame:
-    """Pushes, boos and arrows per post, up to the first comment without a tag."""
+def push_counts(comments: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """Pushes, boos and arrows per post, up to the first comment without a tag.
+
+    Every post counts, with zeros where nothing comes before that comment; ``posts``
+    (``url``) adds those without any comment.
+    """
     bad = comments.filter("tag is null").groupBy("url").agg(F.min("pos").alias("_bad"))
-    counted = salted_lookup(comments, bad, ["url"]).filter("_bad is null or pos < _bad")
-    return counted.groupBy("url").agg(
-        F.count_if(F.col("tag") == PUSH_TAG).alias("push"),
-        F.count_if(F.col("tag") == BOO_TAG).alias("boo"),
-        F.count_if(~F.col("tag").isin(PUSH_TAG, BOO_TAG)).alias("arrow"),
+    read = F.col("_bad").isNull() | (F.col("pos") < F.col("_bad"))
+    counts = salted_lookup(comments, bad, ["url"]).groupBy("url").agg(
+        F.count_if(read & (F.col("tag") == PUSH_TAG)).alias("push"),
+        F.count_if(read & (F.col("tag") == BOO_TAG)).alias("boo"),
+        F.count_if(read & ~F.col("tag").isin(PUSH_TAG, BOO_TAG)).alias("arrow"),
     )
+    if posts is None:
+        return counts
+    return posts.select("url").distinct().join(counts, "url", "left").na.fill(0, ["push", "boo", "arrow"])
 
 
 def thread_envelope(articles: DataFrame, source: str) -> DataFrame:
-    """Nested articles as (url, data) documents."""
-    rest = [c for c in articles.columns if c != "url"]
-    return articles.select("url", F.struct(F.lit(source).alias("source"), *rest).alias("data"))
+    """Nested articles as (url, chunk_no, data) documents; url and chunk_no are their key."""
+    rest = [c for c in articles.columns if c not in ("url", "chunk_no")]
+    return articles.select("url", "chunk_no", F.struct(F.lit(source).alias("source"), *rest).alias("data"))
+
+
+def emoji_map(popup: Column) -> Column:
+    """Text of alternating lines ``name`` and ``count`` as a map of names to counts as text."""
+    lines = F.split(popup, "\n")
+    names = F.filter(lines, lambda x, i: i % 2 == 0)
+    counts = F.filter(lines, lambda x, i: i % 2 == 1)
+    pairs = F.filter(F.arrays_zip(names.alias("name"), counts.alias("n")), lambda p: p["n"].isNotNull())
+    # of a name given twice the last count holds, as in a dictionary
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["name"] == p["name"]))
+    return F.when(popup.isNotNull(), F.map_from_entries(last))
+
+
+def emoji_total(shown: Column) -> Column:
+    """The total as a number; text that is none counts 0."""
+    return F.coalesce(shown.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def emoji_counts(posts: DataFrame, column: str = "emoji_type", url: str = "url") -> DataFrame:

@@ -49,6 +49,18 @@ def fold(events: DataFrame) -> DataFrame:
         F.count_if(~failed).alias("ok"),
         F.min_by("date", F.when(failed, F.col("seq"))).alias("failed_on"),
         F.max_by("date", "seq").alias("last_on"),
+        F.max("seq").alias("last_seq"),
+    )
+
+
+def merge_folds(folded: DataFrame) -> DataFrame:
+    """Folds of several sets of events as the fold of all of them."""
+    return folded.groupBy("url").agg(
+        F.min_by("failed_on", "failed_seq").alias("failed_on"),
+        F.sum("ok").alias("ok"),
+        F.max_by("last_on", "last_seq").alias("last_on"),
+        F.min("failed_seq").alias("failed_seq"),
+        F.max("last_seq").alias("last_seq"),
     )
 
 
@@ -68,7 +80,12 @@ def apply_events(frontier: DataFrame, events: DataFrame) -> DataFrame:
 
     URLs out of rotation stay as they are, events of unknown URLs change nothing.
     """
-    new = settle(fold(events)).select(
+    return apply_folds(frontier, fold(events))
+
+
+def apply_folds(frontier: DataFrame, folded: DataFrame) -> DataFrame:
+    """As ``apply_events``, for events that are folded already."""
+    new = settle(folded).select(
         "url", F.struct("first_crawl", "confirm_num", "last_update").alias("_new")
     )
     joined = frontier.join(new, "url", "left")

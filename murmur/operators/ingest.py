@@ -7,23 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Times in text, with a zone and without, keep all that Spark holds of them.
+MICROS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Binary key and value as UTF-8 text; a missing or empty key is null."""
+    """Binary key and value as UTF-8 text; a missing or empty key is null.
+
+    ``timestamp`` is when the broker took a message, null where a source has none.
+    """
+    arrival = F.col("timestamp") if "timestamp" in messages.columns else F.lit(None).cast("timestamp")
     return messages.select(
         "topic",
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("bigint").alias("offset"),
         F.nullif(F.col("key").cast("string"), F.lit("")).alias("key"),
         F.col("value").cast("string").alias("value"),
+        arrival.alias("timestamp"),
     )
 
 
 def parse_messages(
     messages: DataFrame, schema: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Split messages into those whose value is JSON, parsed, and the raw rest."""
-    ok = F.try_parse_json("value").isNotNull()
+    """Split messages into those whose value is JSON, parsed, and the raw rest.
+
+    As ordinary JSON readers have it, a name given twice is no fault (the last one
+    holds), nor are NaN and infinities. A field of another type than ``schema`` wants
+    is null, and its message stays. Put into brackets, a value must be one element:
+    text after it would make the array unreadable, and no value at all leaves it empty.
+    """
+    element = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>")
+    ok = F.coalesce(F.size(element) == 1, F.lit(False))
     parsed = F.from_json("value", schema)
     return messages.filter(ok).withColumn("value", parsed), messages.filter(~ok)
 
@@ -57,5 +75,5 @@ def to_messages(rows: DataFrame, key: str) -> DataFrame:
     fields = F.struct(*rows.columns)
     return rows.select(
         F.col(key).cast("string").alias("key"),
-        F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"),
+        F.to_json(fields, {"ignoreNullFields": "false", **MICROS}).alias("value"),
     )

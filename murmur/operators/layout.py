@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 # Usual size of a Parquet row group, the least that one task reads.
 ROW_GROUP_BYTES = 128 * 1024 * 1024
+PART_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(rows: DataFrame) -> int:
@@ -33,7 +34,17 @@ def by_document(docs: DataFrame, doc: str) -> DataFrame:
     """Move whole documents, not their tokens, to the task that will group them.
 
     Grouping and ranking by ``doc`` and anything else then needs no further shuffle.
-    The number of partitions is given, as a size measured here would be that of the
-    documents and not of the many rows they turn into.
+    The number of partitions is given, as a size measured at run time would be that of
+    the documents and not of the many rows they turn into: that of the session, or
+    more where the tables read hold more than that many parts of 64 MB.
     """
-    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), doc)
+    return docs.repartition(partitions(docs), doc)
+
+
+def partitions(rows: DataFrame) -> int:
+    """Number of partitions for the bytes of the tables that are read, the session's at least."""
+    held = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # the rest, streams among them, have no estimate
+    return max(held, min(known // PART_BYTES, 200_000))

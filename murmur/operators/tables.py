@@ -78,8 +78,14 @@ def distinct_urls(rows: DataFrame, key: str = "url") -> DataFrame:
 
 def exists_lookup(rows: DataFrame, known: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """Rows to update and rows to insert, by whether their key is known."""
-    keys = known.select(key)
-    return rows.join(keys, key, "left_semi"), rows.join(keys, key, "left_anti")
+    flagged = flag_known(rows, known, key)
+    return flagged.filter("_known").drop("_known"), flagged.filter("not _known").drop("_known")
+
+
+def flag_known(rows: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
+    """``rows`` with ``_known``, whether their key is known: one join for both answers."""
+    keys = known.select(key).distinct().withColumn("_known", F.lit(True))
+    return rows.join(keys, key, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
 
 
 def take(rows: DataFrame, order: Sequence[str], n: int) -> DataFrame:

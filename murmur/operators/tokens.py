@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from murmur.functions.bind import once
 from murmur.functions.text import HAN, WORD, tokens
-from murmur.operators.joins import small_lookup
-from murmur.operators.layout import by_document, spread
+from murmur.operators.joins import literal_table, small_lookup
+from murmur.operators.layout import by_document
 
 
 def tokenize(
@@ -42,25 +42,32 @@ def segment(
     docs: DataFrame,
     lexicon: DataFrame,
     doc: str,
-    max_len: int,
+    max_len: int | None = None,
     content: str = "content",
     lower: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Tokens by longest match from the left, for a lexicon of any size.
 
     Each run of Han characters is cut into n-grams that are joined to the lexicon
     (``word`` column); the hits of a run, sorted, are then folded into tokens that
     do not overlap. Characters in no word are tokens of their own. ``pos`` counts
-    the tokens of a document from 0, as ``tokenize`` does.
+    the tokens of a document from 0, as ``tokenize`` does. Documents move once, so
+    that their runs and words need no further shuffle. ``carry`` names columns that
+    come along; ``max_len`` is the length of the longest word, looked up if not given.
     """
-    docs = spread(docs.select(doc, content), doc)
+    known = lexicon.select(F.lower("word").alias("word") if lower else "word")
+    known = known.filter(F.length("word") > 1).distinct()
+    if max_len is None:
+        max_len = known.filter(F.col("word").rlike(f"[{HAN}]")).agg(F.max(F.length("word"))).first()[0] or 1
+    docs = by_document(docs.select(doc, *carry, content), doc)
     text = F.lower(content) if lower else F.col(content)
     found = F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
     han = F.col("piece").rlike(f"^[{HAN}]")
     # A run is held as its characters, so that cutting one out takes no scan.
     chars = F.when(han, F.regexp_extract_all("piece", F.lit("."), F.lit(0)))
-    runs = docs.select(doc, F.posexplode(found).alias("run", "piece")).select(
-        doc, "run", "piece", chars.alias("chars")
+    runs = docs.select(doc, *carry, F.posexplode(found).alias("run", "piece")).select(
+        doc, *carry, "run", "piece", chars.alias("chars")
     )
     grams = F.transform(
         F.sequence(F.lit(1), F.size("chars")),
@@ -77,7 +84,6 @@ def segment(
         )
         .select(doc, "run", "start", "n", F.substring("text", F.lit(1), F.col("n")).alias("word"))
     )
-    known = lexicon.select("word").filter(F.length("word") > 1).distinct()
     hits = (
         small_lookup(candidates, known, ["word"], "left_semi")
         .groupBy(doc, "run")
@@ -118,12 +124,31 @@ def segment(
         return F.flatten(F.transform(F.sequence(F.lit(0), F.size(b) - 2), part))
 
     words = F.when(F.col("chars").isNull(), F.array("piece")).otherwise(once(bounds, spelled))
-    by_doc = pieces.select(doc, "run", words.alias("words")).groupBy(doc).agg(
+    by_doc = pieces.select(doc, *carry, "run", words.alias("words")).groupBy(doc, *carry).agg(
         F.flatten(
             F.transform(F.sort_array(F.collect_list(F.struct("run", "words"))), lambda r: r["words"])
         ).alias("words")
     )
-    return token_rows(by_doc, [doc])
+    return token_rows(by_doc, [doc, *carry])
+
+
+def tokenize_with(
+    docs: DataFrame,
+    doc: str,
+    carry: Sequence[str],
+    words: DataFrame | Sequence[str] | None = None,
+    lower: bool = True,
+) -> DataFrame:
+    """Tokens of documents; ``words`` is a lexicon of any size for Han text.
+
+    A table with a column ``word``, or the words themselves. Without any, Han text
+    falls apart into single characters.
+    """
+    if words is None or (not isinstance(words, DataFrame) and not words):
+        return tokenize(docs, [doc, *carry], lower=lower)
+    if not isinstance(words, DataFrame):
+        words = literal_table(docs.sparkSession, [(w,) for w in words], ["word"])
+    return segment(docs, words, doc, lower=lower, carry=carry)
 
 
 def word_frequency(docs: DataFrame, doc: str, words: str = "words") -> DataFrame:

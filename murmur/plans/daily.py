@@ -16,32 +16,34 @@ from murmur.operators.articles import (
     reject_incomplete,
 )
 from murmur.operators.layout import spread
-from murmur.operators.tokens import tokenize
+from murmur.operators.tokens import tokenize_with
 
 
-def keyword_tokens(docs: DataFrame, as_of: dt.date, words: Sequence[str] = ()) -> DataFrame:
+# A lexicon for Han text: a table with a column ``word``, or the words, in any number.
+Words = DataFrame | Sequence[str] | None
+
+
+def keyword_tokens(docs: DataFrame, as_of: dt.date, words: Words = None, lower: bool = True) -> DataFrame:
     """(doc_seq, key, value) documents to dated tokens for keyword counts."""
     articles = reject_incomplete(normalize_for_keywords(spread(docs, "doc_seq"), as_of))
     dated = articles.withColumn("publish_date", text_day(F.col("publish_day")))
-    return tokenize(
-        reject_incomplete(dated, ("publish_day",)).filter("publish_date is not null"),
-        ["doc_seq", *keywords.GROUP],
-        words=words,
-    )
+    dated = reject_incomplete(dated, ("publish_day",)).filter("publish_date is not null")
+    return tokenize_with(dated, "doc_seq", keywords.GROUP, words, lower)
 
 
 def daily_keywords(
     docs: DataFrame,
     stopwords: DataFrame,
     as_of: dt.date,
-    words: Sequence[str] = (),
+    words: Words = None,
     k: int = keywords.TOP,
     min_len: int = 1,
     tie: str = "keyword",
+    lower: bool = True,
 ) -> DataFrame:
-    """Top keywords per day and source."""
+    """Top keywords per day and source; without ``lower`` words keep their case."""
     seen = ("doc_seq", "pos") if tie == "first_seen" else ()
-    counts = keywords.keyword_counts(keyword_tokens(docs, as_of, words), first_seen=seen)
+    counts = keywords.keyword_counts(keyword_tokens(docs, as_of, words, lower), first_seen=seen)
     return keywords.top_keywords(keywords.valid_keywords(counts, stopwords, min_len), k, tie=tie)
 
 
@@ -55,15 +57,15 @@ def emotion_articles(docs: DataFrame, year: int = 2024) -> DataFrame:
     )
 
 
-def emotion_tokens(articles: DataFrame, words: Sequence[str] = ()) -> DataFrame:
-    return tokenize(articles, ["doc_seq", "publish_date", "source"], words=words)
+def emotion_tokens(articles: DataFrame, words: Words = None) -> DataFrame:
+    return tokenize_with(articles, "doc_seq", ["publish_date", "source"], words)
 
 
 def daily_emotions(
     docs: DataFrame,
     lexicon: DataFrame,
     polarity: DataFrame,
-    words: Sequence[str] = (),
+    words: Words = None,
     year: int = 2024,
     mode: str = "first",
     k: int = emotion.TOP,

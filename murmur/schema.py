@@ -1,7 +1,7 @@
 """Canonical schemas as DDL. Field names of both vocabularies are fixed values."""
 
 MESSAGE = (
-    "topic string, partition int, offset bigint, key string, value string"
+    "topic string, partition int, offset bigint, key string, value string, timestamp timestamp"
 )
 
 PTT_COMMENT_ZH = "struct<`推文`: string, `用戶`: string, `內容`: string, `時間`: string>"

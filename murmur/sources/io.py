@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.operators.ingest import decode, to_messages
+from murmur.operators.ingest import MICROS, decode, to_messages
 from murmur.schema import MESSAGE
 
 POSTS = "id string, title string, content string"
@@ -66,8 +66,8 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_csv(report: DataFrame, path: str) -> None:
-    """One flat report as CSV with a header, for spreadsheets."""
-    report.write.mode("overwrite").option("header", True).csv(path)
+    """One flat report as CSV with a header, for spreadsheets: quotes are doubled, times keep microseconds."""
+    report.write.mode("overwrite").options(header=True, escape='"', **MICROS).csv(path)
 
 
 def write_append(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from murmur.functions.text import clean_text, tokens
-from murmur.operators.annotate import gazetteer_entities
 from murmur.operators.ingest import latest_by_key, parse_messages
+from murmur.operators.joins import small_lookup
 from murmur.operators.layout import by_document
-from murmur.operators.tokens import token_rows, word_frequency_map
+from murmur.operators.tokens import token_rows
 from murmur.streaming.ingest import KEYS, ORDER
 from murmur.streaming.log import put, start
 
@@ -22,40 +22,57 @@ def enrich(messages: DataFrame, gazetteer: DataFrame) -> DataFrame:
     good, _ = parse_messages(messages, NEWS_VALUE)
     last = latest_by_key(good, KEYS, ORDER)
     docs = last.select(
-        "partition",
-        "offset",
+        # The key may be missing: a document is known by its place in the log.
+        F.struct("topic", "partition", "offset").alias("_doc"),
         "key",
+        "timestamp",
         F.col("value.date").alias("publish_date"),
         "value.title",
         F.col("value.reporter").alias("author"),
         clean_text(F.coalesce("value.content", F.lit(""))).alias("content"),
     ).withColumn("_words", tokens(F.col("content"), lower=False))
-    # The key may be missing, so documents are joined by their place in the log.
-    place = F.struct("partition", "offset")
-    words = by_document(docs.select(place.alias("_doc"), "_words"), "_doc")
-    counts = word_frequency_map(words, "_doc", "_words")
-    mentions = gazetteer_entities(token_rows(words, ["_doc"], "_words"), gazetteer, ["_doc"])
-    entities = mentions.groupBy("_doc").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "entity", "type"))).alias("_e")
+    # Words move once with their document; counts and mentions come from the same rows.
+    rows = token_rows(by_document(docs.select("_doc", "_words"), "_doc"), ["_doc"], "_words")
+    names = gazetteer.select(F.col("word").alias("token"), "type").groupBy("token").agg(
+        F.sort_array(F.collect_set("type")).alias("_types")
     )
-    found = F.transform("_e", lambda e: F.struct(e["entity"].alias("word"), e["type"].alias("type")))
-    none = F.array().cast("array<struct<word: string, type: string>>")
-    return (
-        docs.withColumn("_doc", place)
-        .join(counts, "_doc", "left")
-        .join(entities, "_doc", "left")
-        .select(
-            "key",
-            "partition",
-            "offset",
-            "publish_date",
-            "title",
-            "author",
-            "content",
-            F.coalesce(found, none).alias("entities"),
-            F.coalesce("word_frequency", F.create_map().cast("map<string,bigint>")).alias("word_frequency"),
+    named = small_lookup(rows, names, ["token"], "left")
+    by_word = named.groupBy("_doc", "token").agg(
+        F.count("pos").alias("n"),
+        F.first("_types").alias("_types"),
+        F.sort_array(F.collect_list("pos")).alias("_at"),
+    )
+    found = F.when(F.col("_types").isNotNull(), F.struct("token", "_types", "_at"))
+    by_doc = by_word.groupBy("_doc").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "n"))).alias("word_frequency"),
+        F.collect_list(found).alias("_found"),
+    )
+    mentions = F.flatten(
+        F.transform(
+            "_found",
+            lambda f: F.flatten(
+                F.transform(
+                    f["_at"],
+                    lambda at: F.transform(f["_types"], lambda t: F.struct(at.alias("pos"), f["token"].alias("word"), t.alias("type"))),
+                )
+            ),
         )
     )
+    entities = F.transform(F.sort_array(mentions), lambda e: F.struct(e["word"].alias("word"), e["type"].alias("type")))
+    none = F.array().cast("array<struct<word: string, type: string>>")
+    return docs.join(by_doc, "_doc", "left").select(
+        "key",
+        "_doc.topic",
+        "_doc.partition",
+        "_doc.offset",
+        "timestamp",
+        "publish_date",
+        "title",
+        "author",
+        "content",
+        F.coalesce(entities, none).alias("entities"),
+        F.coalesce("word_frequency", F.create_map().cast("map<string,bigint>")).alias("word_frequency"),
+    )
 
 
 def enrich_stream(
@@ -64,6 +81,10 @@ def enrich_stream(
     """The same, batch by batch; read the result with ``read_collection``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        put(enrich(batch, gazetteer), table, batch_id)
+        batch = batch.persist()
+        try:
+            put(enrich(batch, gazetteer), table, batch_id)
+        finally:
+            batch.unpersist()
 
     return start(messages, write, checkpoint, trigger=trigger)

@@ -9,7 +9,8 @@ from murmur.operators.ingest import latest_by_key, parse_messages
 from murmur.streaming.log import put, read_latest, start
 
 KEYS = ("key",)
-ORDER = ("partition", "offset")
+# By arrival: messages without a key lie in all partitions.
+ORDER = ("timestamp", "partition", "offset")
 
 
 def ingest_stream(

@@ -86,6 +86,34 @@ def test_push_counts_stop_at_the_first_bad_one(spark):
     assert rows(com.push_counts(spark.createDataFrame(data, COMMENT))) == [("u", 2, 1, 1), ("v", 0, 1, 0)]
 
 
+def test_push_counts_of_posts_without_counted_comments(spark):
+    data = [("u", 0, None, None, "a", "c", "t"), ("u", 1, None, "推", "a", "c", "t")]
+    posts = spark.createDataFrame([("u",), ("v",), ("v",)], "url string")
+    assert rows(com.push_counts(spark.createDataFrame(data, COMMENT), posts)) == [("u", 0, 0, 0), ("v", 0, 0, 0)]
+
+
+def test_merge_numbers_what_is_new_only(spark):
+    old = spark.createDataFrame([("u", i, None, "推", "a", str(i), "t") for i in range(20)], COMMENT)
+    for k in range(3):
+        crawl = old.select("url", "pos", "comment_id", "tag", "user", "content", "time")
+        new = crawl.unionByName(spark.createDataFrame([("u", 500, None, "推", "a", f"new {k}", "t")], COMMENT))
+        old = spark.createDataFrame(com.merge_comments(old, new).collect(), COMMENT)
+    assert sorted(r.pos for r in old.collect()) == list(range(23))
+
+
+def test_long_thread_keeps_all_its_documents(spark):
+    thread = spark.range(25).selectExpr("'u' AS url", "id AS pos", "'x' AS content")
+    nested = com.nest_comments(thread, spark.createDataFrame([("u", "t")], "url string, title string"), True, chunk=10)
+    docs = com.thread_envelope(nested, "ptt").collect()
+    assert sorted((d.url, d.chunk_no, d.data.chunks, len(d.data.comments)) for d in docs) == [("u", 0, 3, 10), ("u", 1, 3, 10), ("u", 2, 3, 5)]
+
+
+def test_emoji_popup(column):
+    got = column(com.emoji_map, ["愛心\n12\n哈\nmany", "a\n1\na\n2", "odd", "", None])
+    assert got == [{"愛心": "12", "哈": "many"}, {"a": "2"}, {}, {}, None]
+    assert column(com.emoji_total, ["12", "many", None]) == [12, 0, 0]
+
+
 def test_stamp(spark):
     data = [("u", 0, None, "推", "a", "x", "1.2.3.4 10/24"), ("u", 1, None, "推", "a", "--", "t"), ("u", 2, None, "推", "a", "y", "t")]
     df = spark.createDataFrame(data, COMMENT).withColumn("publish_date", F.lit(dt.date(2024, 1, 2)))

@@ -77,3 +77,23 @@ def test_ptt(spark, column):
     (pushes,) = column(html.pushes, [PTT_PAGE])
     assert [tuple(p) for p in pushes] == [("推", "u1", "好", "1.2.3.4 10/24 08:00"), ("→", "u2", "壞", "10/24")]
     assert column(lambda c: F.size(html.pushes(c)), ["<p>none</p>"]) == [0]
+
+
+def test_without_at_any_depth(column):
+    deep = "body" + "".join(f"<div>L{i}" for i in range(50)) + "</div>" * 50 + "tail<span>x</span></div>end"
+    assert column(lambda c: html.without(c, ("span", "div")), [deep, "plain", "<divider>kept</divider>"]) == [
+        "bodytailend", "plain", "<divider>kept</divider>",
+    ]
+
+
+def test_all_named_entities(column):
+    from html.entities import html5
+
+    names = [n for n in html5 if n.endswith(";")]
+    assert column(html.unescape, [f"a&{n}b" for n in names]) == [f"a{html5[n]}b" for n in names]
+    texts = ["caf&eacute; &uuml;ber &euro;5 &rsquo;s", "&amp;lt; &amp;amp; &amp;#65;", "&nosuch; & &; &#65;&#x42;", "AT&T &copy"]
+    assert column(html.unescape, texts) == ["café über €5 ’s", "&lt; &amp; &#65;", "&nosuch; & &; AB", "AT&T &copy"]
+
+
+def test_text_nodes_are_joined_without_a_gap(column):
+    assert column(html.joined, ["<p>  A  </p>\n <p> B </p>"]) == ["AB"]

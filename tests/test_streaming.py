@@ -20,7 +20,7 @@ def rows(df, *cols):
 
 def message(i):
     key = None if i % 9 == 0 else ["hot", "a", "b"][i % 3]
-    return ("t", i % 2, i, key, '{"n": ' if i % 7 == 0 else json.dumps({"n": i}))
+    return ("t", i % 2, i, key, '{"n": ' if i % 7 == 0 else json.dumps({"n": i}), None)
 
 
 def feed(spark, path, start, end):
@@ -88,7 +88,7 @@ def test_enrich(spark):
     value = json.dumps({"url": "u", "title": "t", "reporter": None, "content": "台北 cat\n\n\ncat --", "date": "d"})
     gone = json.dumps({"title": "empty"})
     df = spark.createDataFrame(
-        [("n", 0, 1, None, "{"), ("n", 0, 2, "k", gone), ("n", 0, 3, "k", value), ("n", 0, 4, None, gone)], MESSAGE
+        [("n", 0, 1, None, "{", None), ("n", 0, 2, "k", gone, None), ("n", 0, 3, "k", value, None), ("n", 0, 4, None, gone, None)], MESSAGE
     )
     names = literal_table(spark, [("cat", "X")], ["word", "type"])
     got = {r["key"]: r for r in enrich.enrich(df, names).collect()}
@@ -113,3 +113,48 @@ def test_sinks(spark, tmp_path):
     assert rows(io.read_words(spark, str(tmp_path / "words.txt"))) == [("了",), ("的",)]
     (tmp_path / "lex.csv").write_text("word,category,seq\n讚,喜悅,1\n")
     assert rows(io.read_lexicon(spark, str(tmp_path / "lex.csv"))) == [("讚", "喜悅", 1)]
+
+
+def test_documents_of_different_topics_stay_apart(spark):
+    from murmur.operators.joins import literal_table
+    from murmur.streaming.enrich import enrich
+
+    value = '{"content": "%s"}'
+    raw = [("a", 0, 1, "x", value % "dog"), ("b", 0, 1, "y", value % "cat cat"), ("b", 0, 2, "z", value % "")]
+    messages = spark.createDataFrame(raw, "topic string, partition int, offset bigint, key string, value string").selectExpr(
+        "*", "cast(null as timestamp) AS timestamp"
+    )
+    names = literal_table(spark, [("dog", "PET"), ("cat", "PET")], ["word", "type"])
+    got = {r.key: (r.word_frequency, [tuple(e) for e in r.entities]) for r in enrich(messages, names).collect()}
+    assert got == {"x": ({"dog": 1}, [("dog", "PET")]), "y": ({"cat": 2}, [("cat", "PET")] * 2), "z": ({}, [])}
+
+
+def test_no_state_is_kept(spark, tmp_path):
+    schema = "publish_date date, source string, content string"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    run = daily.daily_keywords_stream(source, str(tmp_path / "t"), str(tmp_path / "c"))
+    run.awaitTermination()
+    assert not (tmp_path / "c" / "state").exists()
+
+
+def test_compacted_counts(spark, tmp_path):
+    rows_ = [(dt.date(2024, 1, 1), "s", "a", 2)]
+    for i in (0, 1):
+        log.put(spark.createDataFrame(rows_, "publish_date date, source string, keyword string, cnt bigint"), str(tmp_path / "t"), i)
+    daily.compact_counts(spark, str(tmp_path / "t"), str(tmp_path / "n"))
+    assert [r.cnt for r in daily.running_counts(spark, str(tmp_path / "n")).collect()] == [4]
+
+
+def test_frontier_after_the_stream(spark, tmp_path):
+    first = [("u", 1, "ok", dt.date(2024, 1, 1)), ("v", 2, "ok", dt.date(2024, 1, 2))]
+    later = [("u", 3, "failed", dt.date(2024, 1, 3)), ("u", 4, "ok", dt.date(2024, 1, 4)), ("v", 5, "ok", dt.date(2024, 1, 5))]
+    schema = "url string, seq bigint, kind string, date date"
+    for i, part in enumerate((first, later)):
+        log.put(fr.fold(spark.createDataFrame(part, schema)), str(tmp_path / "t"), i)
+    seeded = spark.createDataFrame(
+        [("1", dt.date(2024, 1, 1), u, 0, 0, None) for u in ("u", "v", "w")],
+        "id string, date date, url string, first_crawl int, confirm_num bigint, last_update date",
+    )
+    want = fr.apply_events(seeded, spark.createDataFrame(first + later, schema))
+    assert rows(daily.read_frontier(spark, str(tmp_path / "t"), seeded)) == rows(want)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from murmur.operators import ingest, tables
 from murmur.operators.joins import literal_table, salted_lookup, small_lookup
+from murmur.streaming.ingest import ORDER
 
 
 def rows(df):
@@ -16,11 +17,27 @@ def test_decode_takes_an_empty_key_for_none(spark):
         [("t", 0, 1, b"", "{}".encode()), ("t", 0, 2, None, None), ("t", 0, 3, "鍵".encode(), "值".encode())],
         "topic string, partition int, offset bigint, key binary, value binary",
     )
-    assert [tuple(r)[3:] for r in ingest.decode(raw).orderBy("offset").collect()] == [
+    assert [tuple(r)[3:5] for r in ingest.decode(raw).orderBy("offset").collect()] == [
         (None, "{}"), (None, None), ("鍵", "值"),
     ]
 
 
+def test_what_counts_as_json(spark):
+    values = ['{"n":1,"n":2}', '{"n":NaN}', '{"n":1} x', '{"n":1}}', '{"n":1', "", None, "[]", "3", '{"n":"many"}', '{"n":1},{"n":2}']
+    raw = spark.createDataFrame(list(enumerate(values)), "i int, value string")
+    good, bad = ingest.parse_messages(raw, "n int")
+    assert {r.i: r.value and r.value.n for r in good.collect()} == {0: 2, 1: None, 7: None, 8: None, 9: None}
+    assert sorted(r.i for r in bad.collect()) == [2, 3, 4, 5, 6, 10]
+
+
+def test_keyless_messages_by_arrival(spark):
+    import datetime as dt
+
+    raw = [("t", p, o, None, "{}", dt.datetime(2024, 1, 1, 0, m)) for p, o, m in ((3, 1, 1), (0, 900, 9), (1, 5, 4))]
+    rows_ = spark.createDataFrame(raw, "topic string, partition int, offset bigint, key string, value string, timestamp timestamp")
+    assert ingest.latest_by_key(rows_, ["key"], ORDER).first().offset == 900
+
+
 def test_parse_messages(spark):
     raw = spark.createDataFrame(
         [(1, '{"a": 1}'), (2, '{"a": '), (3, None), (4, '{"b": 2}'), (5, "x")], "offset int, value string"

@@ -80,9 +80,9 @@ def test_tokens_of_a_very_long_word(column):
     assert column(lambda c: F.length(text.tokens(c)[0]), ["a" * 200_000]) == [200_000]
 
 
-def test_too_many_words_for_a_pattern():
-    with pytest.raises(ValueError):
-        text.token_pattern([chr(0x4E00 + i) * 2 for i in range(text.MAX_ALTERNATION + 1)])
+def test_a_pattern_of_many_words(column):
+    words = [chr(0x4E00 + i) * 2 for i in range(1200)]
+    assert column(lambda c: text.tokens(c, words), [words[1100] + words[3] + words[7][0]]) == [[words[1100], words[3], words[7][0]]]
 
 
 def test_small_helpers(spark):

@@ -207,3 +207,48 @@ def test_token_positions(spark, lower):
     assert [t if lower else t.lower() for _, _, t in got] == ["a", "b", "c"]
     assert [p for _, p, _ in got] == [0, 1, 2]
     assert text.token_pattern(["自", "自由"]).startswith("自由|自|")
+
+
+def _longest_match(content, words, longest):
+    out, i = [], 0
+    while i < len(content):
+        for n in range(min(longest, len(content) - i), 0, -1):
+            if n == 1 or content[i : i + n] in words:
+                out.append(content[i : i + n])
+                i += n
+                break
+    return out
+
+
+@pytest.mark.parametrize("size", [764, 50_000])
+def test_daily_keywords_with_a_lexicon_of_any_size(spark, size):
+    r = random.Random(size)
+    letters = [chr(0x4E00 + i) for i in range(60 if size < 1000 else 400)]
+    words = set()
+    while len(words) < size:
+        words.add("".join(r.choice(letters) for _ in range(r.randint(2, 4))))
+    texts = ["".join(r.choice([r.choice(sorted(words)[:300]), r.choice(letters)]) for _ in range(60)) for _ in range(8)]
+    value = "struct<`內容`: string, `發佈日期`: string, `標題`: string, `作者`: string>"
+    docs = spark.createDataFrame(
+        [(i, f"https://www.ptt.cc/bbs/b/M.{i}.html", (t, "1/2", "t", "a")) for i, t in enumerate(texts)],
+        f"doc_seq bigint, key string, value {value}",
+    )
+    want = Counter(w for t in texts for w in _longest_match(t, words, 4))
+    stop = literal_table(spark, [("無",)], ["word"])
+    lexicon = spark.createDataFrame([(w,) for w in words], "word string")
+    counts = {}
+    for given in (lexicon, sorted(words)) if size < 1000 else (lexicon,):
+        got = daily.daily_keywords(docs, stop, dt.date(2024, 1, 31), given, k=10**6)
+        counts = {x.keyword: x.cnt for x in got.collect()}
+        assert counts == dict(want)
+
+
+def test_keywords_keep_their_case_if_asked(spark):
+    value = "struct<`內容`: string, `發佈日期`: string, `標題`: string, `作者`: string>"
+    docs = spark.createDataFrame(
+        [(1, "https://www.ptt.cc/bbs/b/M.1.html", ("NATO Nato nato", "1/2", "t", "a"))], f"doc_seq bigint, key string, value {value}"
+    )
+    stop = literal_table(spark, [("x",)], ["word"])
+    for lower, want in ((True, {"nato": 3}), (False, {"NATO": 1, "Nato": 1, "nato": 1})):
+        got = daily.daily_keywords(docs, stop, dt.date(2024, 1, 31), lower=lower)
+        assert {r.keyword: r.cnt for r in got.collect()} == want
