@@ -49,14 +49,22 @@ LOOKALIKES = dict(
 )
 # Digits and signs that stand for letters inside a word.
 DIGITS = dict(zip("01345789@$!|+", "oieastbgasiit", strict=True))
-INSIDE = re.compile(r"(?:(?<=[^\W\d_])[013457898@$!|+]+(?=[^\W\d_])|(?<![^\s])[013457@$]+(?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[013457$]+(?![^\s]))")
+SIGNS = re.compile(r"[0-9@$!|+]")
+LONGEST = 24  # characters of a word that may be a disguise
 SPLIT = re.compile(r"[\W_]+")
 DRAWN = re.compile(r"(.)\1{2,}")
 PLAIN = str.maketrans(LOOKALIKES)
 
 
-def _undo(m: re.Match) -> str:
-    return "".join(DIGITS.get(c, c) for c in m.group())
+SPELLED = str.maketrans(DIGITS)
+
+
+def _undo(word: str) -> str:
+    """A word with digits or signs among its letters, spelled with letters."""
+    core = word.strip(".,;:!?|+()[]{}\"'*&%#-")
+    if 3 <= len(core) <= LONGEST and any(c.isalpha() for c in core) and SIGNS.search(core):
+        return core.translate(SPELLED)
+    return word
 
 
 def fold_text(text: str) -> str:
@@ -66,8 +74,8 @@ def fold_text(text: str) -> str:
         x = unicodedata.normalize("NFKD", x).translate(PLAIN)
         if not x.isascii():
             x = "".join(c for c in x if not unicodedata.combining(c))
-    if any(c in x for c in "01345789@$!|+"):
-        x = INSIDE.sub(_undo, x)
+    if SIGNS.search(x):
+        x = " ".join([_undo(w) if SIGNS.search(w) else w for w in x.split()])
     x = DRAWN.sub(r"\1\1", x)
     return f" {SPLIT.sub(' ', x).strip()} "
 
