@@ -185,14 +185,14 @@ def emotion_category_counts(spark, sf):
     return emotion.category_counts(_emotion_tokens(spark, sf), src.lexicon(spark), ["doc_seq"])
 
 
+def _all_tokens(spark, sf, carry):
+    return tokenize(_emotion_docs(spark, sf), carry, keep_empty=True)
+
+
 def _doc_emotions(spark, sf):
-    docs = _emotion_docs(spark, sf)
-    return emotion.doc_emotions(
-        docs.select("doc_seq", "publish_date", "source"),
-        daily.emotion_tokens(docs),
-        src.lexicon(spark),
-        emotion.polarity_table(spark),
-        "doc_seq",
+    doc = ["doc_seq", "publish_date", "source"]
+    return emotion.emotions_per_document(
+        _all_tokens(spark, sf, doc), src.lexicon(spark), emotion.polarity_table(spark), doc
     )
 
 
@@ -267,13 +267,8 @@ rated AS (
 SELECT a.doc_seq, CASE WHEN p + n > 0 THEN CAST(p AS DOUBLE) / (p + n) END AS score
 FROM articles a LEFT JOIN rated USING (doc_seq)""")
 def sentiment_score(spark, sf):
-    docs = _emotion_docs(spark, sf)
-    return emotion.sentiment_score(
-        docs.select("doc_seq"),
-        daily.emotion_tokens(docs),
-        src.lexicon(spark),
-        emotion.polarity_table(spark),
-        "doc_seq",
+    return emotion.sentiment_per_document(
+        _all_tokens(spark, sf, ["doc_seq"]), src.lexicon(spark), emotion.polarity_table(spark), ["doc_seq"]
     )
 
 

@@ -145,24 +145,20 @@ def daily_emotions_sum(
     words = found.groupBy(*group, F.col("token").alias("word"), "category").agg(
         F.count(F.lit(1)).alias("cnt")
     )
-    w = Window.partitionBy(*group).orderBy(F.desc("cnt"), F.asc("word"))
-    ranked = words.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    categories = words.groupBy(*group, "category").agg(F.sum("cnt").alias("n"))
-    totals = (
-        with_polarity(categories, polarity)
-        .groupBy(*group)
-        .agg(
-            F.min_by("category", F.struct(-F.col("n"), F.col("category"))).alias("dominant_emotion"),
-            F.sum(F.col("n") * F.col("polarity")).alias("emotion_score"),
-        )
+    # From here on a group has at most a row per lexicon word, and lies in one place.
+    rated = small_lookup(words, polarity, ["category"], "left")
+    whole, kind = Window.partitionBy(*group), Window.partitionBy(*group, "category")
+    by_size = Window.partitionBy(*group).orderBy(F.desc("cnt"), F.asc("word"))
+    sized = F.when(F.col("polarity").isNotNull(), F.struct(-F.col("_n"), F.col("category")))
+    ranked = (
+        rated.withColumn("_n", F.sum("cnt").over(kind))
+        .withColumn("dominant_emotion", F.min_by("category", sized).over(whole))
+        .withColumn("emotion_score", F.sum(F.col("cnt") * F.col("polarity")).over(whole))
+        .withColumn("rank", F.row_number().over(by_size))
+        .filter((F.col("rank") <= k) & F.col("dominant_emotion").isNotNull())
     )
-    return ranked.join(totals, group).select(
-        *group,
-        "rank",
-        F.col("word").alias("emotion_word"),
-        "cnt",
-        "dominant_emotion",
-        "emotion_score",
+    return ranked.select(
+        *group, "rank", F.col("word").alias("emotion_word"), "cnt", "dominant_emotion", "emotion_score"
     )
 
 
@@ -176,3 +172,38 @@ def sentiment_score(
     )
     score = F.when(F.col("_p") + F.col("_n") > 0, F.col("_p") / (F.col("_p") + F.col("_n")))
     return docs.join(per_doc, doc, "left").withColumn("score", score).drop("_p", "_n")
+
+
+def emotions_per_document(
+    tokens: DataFrame, lexicon: DataFrame, polarity: DataFrame, doc: Sequence[str]
+) -> DataFrame:
+    """As ``doc_emotions``, in one reading of the texts.
+
+    ``tokens`` have a row without a token for documents without any (``keep_empty``),
+    so that these need no second look at the table.
+    """
+    words = last_definition(lexicon).withColumnRenamed("word", "token")
+    found = small_lookup(tokens, words, ["token"], "left").groupBy(*doc, "category").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos")
+    )
+    rated = small_lookup(found, polarity, ["category"], "left")
+    known = F.col("category").isNotNull()
+    per_doc = rated.groupBy(*doc).agg(
+        F.max_by("category", F.when(known, F.struct("cnt", -F.col("first_pos")))).alias("dominant_emotion"),
+        F.coalesce(F.sum(F.col("cnt") * F.col("polarity")), F.lit(0).cast("bigint")).alias("emotion_score"),
+        F.bool_or(known & F.col("polarity").isNull()).alias("_unrated"),
+    )
+    return per_doc.filter("not _unrated").drop("_unrated")
+
+
+def sentiment_per_document(
+    tokens: DataFrame, lexicon: DataFrame, polarity: DataFrame, doc: Sequence[str]
+) -> DataFrame:
+    """As ``sentiment_score``, in one reading of the texts; ``tokens`` as above."""
+    words = last_definition(lexicon).join(polarity, "category").select(F.col("word").alias("token"), "polarity")
+    rated = small_lookup(tokens, words, ["token"], "left")
+    counts = rated.groupBy(*doc).agg(
+        F.count_if(F.col("polarity") > 0).alias("_p"), F.count_if(F.col("polarity") < 0).alias("_n")
+    )
+    score = F.when(F.col("_p") + F.col("_n") > 0, F.col("_p") / (F.col("_p") + F.col("_n")))
+    return counts.withColumn("score", score).drop("_p", "_n")

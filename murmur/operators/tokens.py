@@ -19,13 +19,16 @@ def tokenize(
     content: str = "content",
     words: Sequence[str] = (),
     lower: bool = True,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """One row per token: the carried columns, ``pos`` and ``token``.
 
     Rows stream out of each document, which itself stays in its partition.
+    ``keep_empty`` gives a document without tokens one row without a token.
     """
     found = tokens(F.col(content), words, lower)
-    return docs.select(*carry, F.posexplode(found).alias("pos", "token"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    return docs.select(*carry, explode(found).alias("pos", "token"))
 
 
 def token_rows(docs: DataFrame, carry: Sequence[str], words: str = "words") -> DataFrame:

@@ -91,6 +91,11 @@ def test_emotions_against_a_loop(spark):
     ids = spark.createDataFrame([(d,) for d, _ in docs], "doc_seq bigint")
     got = {r[0]: (r[1], r[2]) for r in emotion.doc_emotions(ids, toks, lex, pol, "doc_seq").collect()}
     assert got == {d: emotions_of(ts)[1:] for d, ts in docs}
+    empty = ids.join(toks, "doc_seq", "left").select("doc_seq", "pos", "token")
+    once = {r[0]: (r[1], r[2]) for r in emotion.emotions_per_document(empty, lex, pol, ["doc_seq"]).collect()}
+    assert once == got
+    polar = {r[0]: r[1] for r in emotion.sentiment_score(ids, toks, lex, pol, "doc_seq").collect()}
+    assert {r[0]: r[1] for r in emotion.sentiment_per_document(empty, lex, pol, ["doc_seq"]).collect()} == polar
     taken, want = set(), []
     for d, ts in docs:
         words, best, score = emotions_of(ts)
