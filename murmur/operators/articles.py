@@ -45,7 +45,8 @@ def normalize_for_keywords(docs: DataFrame, as_of: dt.date) -> DataFrame:
         *_shared(v),
         first_non_empty(v["內容"], v["content"]).alias("content"),
         dates.date_keyword(days, as_of).alias("publish_day"),
-        sites.classify_source(F.col("key")).alias("source"),
+        # This job reads a null key as a text like any other, which names no site.
+        sites.classify_source(F.coalesce("key", F.lit("None"))).alias("source"),
     )
 
 

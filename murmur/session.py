@@ -34,8 +34,9 @@ def build(master: str | None = None, **conf: str) -> SparkSession:
 
 
 @functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="murmur-")
+def _local_dir() -> tempfile.TemporaryDirectory:
+    """Folder of a local session, removed when Python ends."""
+    return tempfile.TemporaryDirectory(prefix="murmur-", ignore_cleanup_errors=True)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
         return set_to.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return _local_dir()
+    return _local_dir().name
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from murmur.checks import QUERIES
 from murmur.session import scratch, shared_dir
 
 SF = "/root/testdata/sf0.001"
@@ -10,13 +10,13 @@ PYTHON = ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "Fla
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SF)._jdf.queryExecution().toString()
+    return QUERIES[name](spark, SF)._jdf.queryExecution().toString()
 
 
-STREAMS = {n for n in entry.queries() if n.startswith("stream_")}
+STREAMS = {n for n in QUERIES if n.startswith("stream_")}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMS - {"annotate", "sentiment_classifier"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS - {"annotate", "sentiment_classifier"}))
 def test_native_and_without_cross_joins(spark, name):
     text = plan(spark, name)
     assert not any(p in text for p in PYTHON)
