@@ -6,9 +6,10 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as entry
+from murmur.checks import ORACLE as SQL
+from murmur.checks import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
