@@ -43,7 +43,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     # a cut may halve a letter; its bytes go too
     text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
     cut = cut.select(F.col("doc_id").alias("_id"), text.alias("_text"))
-    joined = docs.where("doc_id IS NOT NULL").join(cut, F.col("doc_id") == F.col("_id"), "left")
+    # Catalyst knows the size of the chunks' places, not of the texts read from them: never broadcast these
+    joined = docs.where("doc_id IS NOT NULL").join(cut.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
     joined = joined.where("_id IS NULL OR _text <> ''")
     changed = {"text": F.coalesce("_text", "text")}
     if "n_chars" in docs.columns:
