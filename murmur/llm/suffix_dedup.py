@@ -430,8 +430,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans removed, kept bytes) of every row with a doc_id."""
     n = partitions(texts(docs))
     folder = new_folder(docs.sparkSession, "chunks")
-    # by rows, not by a hash of the chunk: few chunks would leave some tasks without work
     packed = store(chunks(docs, folder), "places")
+    # Places are dealt out in turn: by a hash of few chunks some tasks would have no work.
     shared = _shared(_hash_units(packed.repartition(n), n), n)
     found = _earlier(_places(_with_chunks(packed, shared, n), n), n)
     return _cut(_with_chunks(packed, found, n))
