@@ -4,9 +4,9 @@ A text becomes a row of tokens in lower case in which numbers, units after a num
 words, but at the start of a sentence) are typed slots; several names in a row are one. Windows of
 eight tokens with slots instead of values are joined by their hash, so that a question with
 other numbers or names still meets its original. Windows on one diagonal (same distance between
-the two positions) belong together. On it every value of the item must stand for one value of the
-document, and the other way round; else the two only look alike and the diagonal counts for nothing. A document holds an
-item if the windows cover at least half of its tokens.
+the two positions) belong together. On it a value of the item stands for the value of the document that most of its
+places have (of equally many the same one, then the first); places with another value don't count. Several values
+may have become one. A document holds an item if the places that count are at least half of its tokens.
 
 Items of 4 to 7 tokens are one window of their own length; shorter ones can't be told from
 ordinary text and are never found. Windows with fewer than 4 words that are no slots are not used, unless the
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmur.llm.common import batch, mix, runs, texts
@@ -203,7 +203,7 @@ def document_windows(docs: DataFrame, widths: list[int], wanted: np.ndarray | No
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """(doc_id, item_id, share, verbatim): items that documents hold, and whether all values are the same."""
+    """(doc_id, item_id, share, verbatim): items that documents hold, and whether all values that count are the same."""
     items = texts(benchmark, "item_id").where("doc_id IS NOT NULL AND text <> ''")
     index = item_windows(items, window).persist()
     try:
@@ -221,21 +221,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     met = windows.withColumnRenamed("id", "doc_id").join(item, ["key", "width"])
     met = met.withColumn("diagonal", F.col("at") - F.col("item_at"))
     line = ["doc_id", "item_id", "diagonal"]
-    pairs = F.filter(F.arrays_zip("found", "item_found"), lambda p: p["found"] != 0)
-    slots = met.select(*line, F.explode(pairs).alias("pair")).distinct()
-    # on a diagonal that agrees, values and pairs of values are equally many
-    odd = slots.groupBy(*line).agg(
-        F.count("*").alias("pairs"),
-        F.countDistinct("pair.found").alias("here"),
-        F.countDistinct("pair.item_found").alias("there"),
-        F.max(F.col("pair.found") != F.col("pair.item_found")).alias("changed"),
-    )
-    places = met.select(*line, "size", F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.col("width") - 1)).alias("place"))
-    places = places.distinct().join(odd, line, "left").where("pairs IS NULL OR (pairs = here AND pairs = there)")
+    pairs = F.posexplode(F.arrays_zip("found", "item_found")).alias("i", "pair")
+    places = met.select(*line, "size", "item_at", pairs).select(
+        *line, "size", (F.col("item_at") + F.col("i")).alias("place"), "pair.found", "pair.item_found"
+    ).distinct()
+    # on a diagonal a value of the item stands for the value that most of its places have; the others don't count
+    each = Window.partitionBy(*line, "item_found", "found")
+    places = places.withColumn("same", F.col("found") == F.col("item_found"))
+    places = places.withColumn("weight", F.struct(F.count("*").over(each), "same", -F.min("place").over(each)))
+    places = places.withColumn("most", F.max("weight").over(Window.partitionBy(*line, "item_found"))).where("weight = most")
     # places of an item that several diagonals cover count once
-    covered = places.groupBy("doc_id", "item_id", "place").agg(F.max("size").alias("size"), F.max("changed").alias("changed"))
+    covered = places.groupBy("doc_id", "item_id", "place").agg(F.max("size").alias("size"), F.max("same").alias("same"))
     total = covered.groupBy("doc_id", "item_id").agg(
-        (F.count("*") / F.max("size")).alias("share"), (~F.coalesce(F.max("changed"), F.lit(False))).alias("verbatim")
+        (F.count("*") / F.max("size")).alias("share"), F.min("same").alias("verbatim")
     )
     return total.where(F.col("share") >= share)
 
