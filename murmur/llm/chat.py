@@ -18,6 +18,7 @@ the order of their text. Ties go to the state named first.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import batch
+from murmur.llm.common import batch, store
 from murmur.llm.grouped import groups
 
 ROLES = ("system", "user", "assistant")
@@ -40,6 +41,7 @@ MEANING = {
     **dict.fromkeys(("assistant", "ai", "bot", "agent", "answer", "a", "model", "response", "output", "teacher", "gpt", "helper"), 3),
 }
 MARKERS, SHAPES, LENGTHS, GAPS = 5, 4, 4, 2
+VALUES = (MARKERS, SHAPES, LENGTHS, GAPS)
 OPEN, CLOSE = "<|{}|>\n", "\n<|end|>\n"
 
 
@@ -83,10 +85,9 @@ class Model:
         return sum(e[:, f[:, k]].T for k, e in enumerate(self.emit))
 
 
-def fit(labelled: list[list[tuple[str, str]]]) -> Model:
-    """Count probabilities from transcripts given as turns of (role, text with its marker)."""
+def _prior() -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     start, move = np.full(N, 0.1), np.full((N, N), 0.1)
-    emit = [np.full((N, n), 0.01) for n in (MARKERS, SHAPES, LENGTHS, GAPS)]
+    emit = [np.full((N, n), 0.01) for n in VALUES]
     for s, (_, begins) in enumerate(STATES):
         # a turn goes on in its own role only
         for t, (role, again) in enumerate(STATES):
@@ -94,6 +95,17 @@ def fit(labelled: list[list[tuple[str, str]]]) -> Model:
                 move[s, t] = 1e-9
         if not begins:
             start[s] = 1e-9
+    return start, move, emit
+
+
+def _normed(start, move, emit) -> Model:
+    norm = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
+    return Model(norm(start), norm(move), [norm(e) for e in emit])
+
+
+def fit(labelled: list[list[tuple[str, str]]]) -> Model:
+    """Count probabilities from transcripts given as turns of (role, text with its marker)."""
+    start, move, emit = _prior()
     for turns in labelled:
         last = None
         for role, text in turns:
@@ -108,8 +120,75 @@ def fit(labelled: list[list[tuple[str, str]]]) -> Model:
                 for e, v in zip(emit, features(x, gap), strict=True):
                     e[s, v] += 1
                 last = s
-    norm = lambda x: np.log(x / x.sum(axis=-1, keepdims=True))
-    return Model(norm(start), norm(move), [norm(e) for e in emit])
+    return _normed(start, move, emit)
+
+
+def in_parts(turns: DataFrame, size: int) -> DataFrame:
+    """(conv_id, part, place, role, line) of (conv_id, turn, role, line): ``size`` turns in each part, however they are numbered.
+
+    Turns are in the order of their number, those without one first, and of their line. Rows without a conv_id are left out.
+    """
+    given = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "line")
+    # numbered by stretches of turn numbers, so that a long transcript doesn't meet in one task
+    stretch = F.coalesce(F.floor(F.col("turn") / size), F.lit(-(1 << 62))).alias("stretch")
+    given = given.where("conv_id IS NOT NULL").select("*", stretch)
+    before = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = given.groupBy("conv_id", "stretch").agg(F.count("*").alias("n"))
+    offsets = sizes.select("conv_id", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = F.row_number().over(Window.partitionBy("conv_id", "stretch").orderBy("turn", "line")) - 1
+    placed = given.withColumn("own", own).join(offsets, ["conv_id", "stretch"]).withColumn("place", F.col("offset") + F.col("own"))
+    return placed.select("conv_id", F.floor(F.col("place") / size).alias("part"), "place", "role", "line")
+
+
+def fit_parts(turns: DataFrame) -> Model:
+    """As ``fit``, from (conv_id, part, place, role, line): tasks read the lines, the driver gets sums of counts."""
+    schema = pa.schema(
+        [("conv_id", pa.int64()), ("part", pa.int64()), ("place", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("counts", pa.map_(pa.int32(), pa.int64()))]
+    )
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for conv_id, part, place, role, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                counts: Counter[int] = Counter()
+                first = last = None
+                for i, (x, gap) in enumerate(lines(line)):
+                    s = STATES.index((role, i == 0))
+                    if last is None:
+                        first = s
+                    else:
+                        counts[last * N + s] += 1
+                    for k, v in enumerate(features(x, gap)):
+                        counts[N * N + (k * N + s) * max(VALUES) + v] += 1
+                    last = s
+                if first is not None:
+                    out.append((conv_id, part, place, first, last, list(counts.items())))
+            if out:
+                yield batch(schema.names, zip(*out, strict=True), schema)
+
+    given = turns.where(F.col("role").isin(*ROLES)).select("conv_id", "part", "place", "role", "line")
+    kinds = "conv_id long, part long, place long, first int, last int, counts map<int,bigint>"
+    seen = store(given.mapInArrow(run, kinds), "chat")
+    start, move, emit = _prior()
+    for code, n in seen.select(F.explode("counts").alias("code", "n")).groupBy("code").agg(F.sum("n")).collect():
+        if code < N * N:
+            move[divmod(code, N)] += n
+        else:
+            where, v = divmod(code - N * N, max(VALUES))
+            k, s = divmod(where, N)
+            emit[k][s, v] += n
+    # from turn to turn inside the parts, then from part to part
+    inside = Window.partitionBy("conv_id", "part").orderBy("place")
+    edges = seen.groupBy("conv_id", "part").agg(F.min_by("first", "place").alias("first"), F.max_by("last", "place").alias("last"))
+    across = Window.partitionBy("conv_id").orderBy("part")
+    steps = seen.select(F.lag("last").over(inside).alias("prev"), "first").where("prev IS NOT NULL")
+    steps = steps.unionByName(edges.select(F.lag("last").over(across).alias("prev"), "first"))
+    for prev, first, n in steps.groupBy("prev", "first").count().collect():
+        if prev is None:
+            start[first] += n
+        else:
+            move[prev, first] += n
+    return _normed(start, move, emit)
 
 
 def viterbi(model: Model, scores: np.ndarray, entry: np.ndarray, last: int | None = None) -> tuple[list[int], float]:

@@ -144,16 +144,12 @@ def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spoken(spark, sf_dir)
-    known = lines.select(F.col("conv_id").cast("long").alias("doc_id"), "turn", "role", "line").where("doc_id IS NOT NULL")
-    picked = sampled(known.select("doc_id").distinct(), chat.SAMPLE)
-    labelled: dict[int, list] = {}
-    for r in known.join(picked, "doc_id").orderBy("doc_id", "turn", "line").collect():
-        labelled.setdefault(r["doc_id"], []).append((r["role"], r["line"]))
-    part = F.floor(F.coalesce("turn", F.lit(0)) / TURNS_IN_PART).alias("part")
-    turns = F.array_sort(F.collect_list(F.struct("turn", "line")))
-    parts = lines.groupBy("conv_id", part).agg(F.array_join(F.transform(turns, lambda t: t["line"]), "\n").alias("text"))
-    return chat.render(chat.parse(parts, chat.fit(list(labelled.values()))))
+    turns = chat.in_parts(spoken(spark, sf_dir), TURNS_IN_PART)
+    picked = sampled(turns.select(F.col("conv_id").alias("doc_id")).distinct(), chat.SAMPLE)
+    model = chat.fit_parts(turns.join(picked, turns["conv_id"] == picked["doc_id"], "left_semi"))
+    own = F.array_sort(F.collect_list(F.struct("place", "line")))
+    parts = turns.groupBy("conv_id", "part").agg(F.array_join(F.transform(own, lambda t: t["line"]), "\n").alias("text"))
+    return chat.render(chat.parse(parts, model))
 
 
 @query
