@@ -2,24 +2,43 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame,
 which is written as Parquet and read again as the next one's docs. All but the last return
-the columns of documents. Rows without a doc_id can't be matched with anything and pass stages 2 to 4 as they are.
+the columns of documents. Stages 2 to 4 work on a key of the row, so rows without a doc_id and rows that share one are
+compared, cut and dropped like all others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import bpe, chosen_path, suffix_dedup, template, toxicity
-from murmur.llm.common import store
+from murmur.llm.common import partitions, store
 from murmur.llm.queries import LEARN_THRESHOLD, prepare, table, tokenizer
 
 # SQL can't express these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def _without_id(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id IS NULL")
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key each, in the order of doc_id, those without one last.
+
+    The doc_id itself where no row lacks it and no two share it; else a number that is stored with the rows.
+    """
+    known = F.col("doc_id").cast("long")
+    odd = docs.groupBy(known.alias("doc_id")).count().where("doc_id IS NULL OR count > 1")
+    if odd.isEmpty():
+        return docs.withColumn(KEY, known)
+    place = [known.asc_nulls_last(), F.xxhash64("text"), F.col("_place")]
+    rows = docs.withColumn("_place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(partitions(docs), *place).sortWithinPartitions(*place)
+    return store(rows.drop("_place").withColumn(KEY, F.monotonically_increasing_id()), "rows")
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col(KEY).alias("doc_id"), "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,33 +49,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id; five words, similarity 0.8."""
-    kept = chosen_path.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(first))
-    return once.where("_place = 1").drop("_place").select(*docs.columns).unionByName(_without_id(docs))
+    """Of each group of near-duplicates the row with the smallest doc_id; five words, similarity 0.8."""
+    rows = _keyed(docs)
+    kept = chosen_path.near_duplicates(_texts(rows), width=5, percent=80).where("kept").select(F.col("doc_id").alias(KEY))
+    return rows.join(kept, KEY, "left_semi").select(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a text that was nothing else goes."""
-    cut = suffix_dedup.remove_repeats(docs).where(F.size("spans") > 0)
+    rows = _keyed(docs)
+    cut = suffix_dedup.remove_repeats(_texts(rows)).where(F.size("spans") > 0)
     # a cut may halve a letter; its bytes go too
     text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
     cut = cut.select(F.col("doc_id").alias("_id"), text.alias("_text"))
     # Catalyst knows the size of the chunks' places, not of the texts read from them: never broadcast these
-    joined = docs.where("doc_id IS NOT NULL").join(cut.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
+    joined = rows.join(cut.hint("merge"), F.col(KEY) == F.col("_id"), "left")
     joined = joined.where("_id IS NULL OR _text <> ''")
     changed = {"text": F.coalesce("_text", "text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(kind))
-    return joined.withColumns(changed).select(*docs.columns).unionByName(_without_id(docs))
+    return joined.withColumns(changed).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    bad = template.contaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs)
+    bad = template.contaminated(_texts(rows), table(spark, sf_dir, "benchmark")).where("contaminated")
+    return rows.join(bad.select(F.col("doc_id").alias(KEY)), KEY, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
