@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, chat, chosen_path, forest, langid, quality, suffix_dedup, template, tokenfile, toxicity
+from murmur.llm import align, bpe, chat, chosen_path, exact_dedup, forest, langid, merkle, quality, suffix_dedup, template, tokenfile, toxicity
 from murmur.llm.common import fold, new_folder, sampled
 from murmur.session import SETTINGS
 
@@ -160,3 +160,96 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLE["op11_exact_dedup"] = """
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(max(doc_id) OVER same AS BIGINT) AS keep_id,
+       count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the fields of a leaf, in this order
+    def leaf(text):
+        return merkle.leaf(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text)
+
+    text = F.col("text")
+    small = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(fold("doc_id", 3) == 0, leaf(small))
+    tree = merkle.Manifest(table(spark, sf_dir, "documents"), F.col("lang"), F.col("doc_id"), leaf(text), tampered)
+    return tree.audit().select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"), "verified"
+    )
+
+
+def _merkle_sql(below: int = 7, upper: int = 3) -> str:
+    """The whole tree, level by level: enough levels for 8 ** below rows of a language and 8 ** upper languages."""
+
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', {c}) END"
+
+    def leaf(text: str) -> str:
+        return "sha256(concat(" + ", ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+
+    crc = (
+        "xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),"
+        " lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: i::UBIGINT)),"
+        " lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)), 4294967295::UBIGINT)"
+    )
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [
+        f"t0 AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(small)} END AS changed FROM documents)",
+        "d0 AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM t0)",
+        "n0 AS (SELECT tree, pos, leaf AS hash FROM d0)",
+    ]
+    for k in range(1, below + 1):
+        # a tree of one node stays as it is
+        out.append(f"s{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM n{k - 1})")
+        out.append(
+            f"n{k} AS (SELECT tree, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash"
+            f" FROM s{k} GROUP BY tree, pos // 8)"
+        )
+    out.append(f"n{below + 1} AS (SELECT 0 AS tree, tree AS pos, hash FROM n{below})")
+    for k in range(below + 2, below + upper + 2):
+        out.append(f"s{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM n{k - 1})")
+        out.append(
+            f"n{k} AS (SELECT tree, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN min(hash) ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash"
+            f" FROM s{k} GROUP BY tree, pos // 8)"
+        )
+    # siblings of every node of a level, and whether the level exists in its tree
+    for k in [*range(1, below + 1), *range(below + 2, below + upper + 2)]:
+        out.append(
+            f"p{k} AS (SELECT a.tree, a.pos, coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,"
+            f" coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r, max(a.n) > 1 AS real"
+            f" FROM s{k} a JOIN s{k} b ON a.tree = b.tree AND a.pos // 8 = b.pos // 8 GROUP BY a.tree, a.pos)"
+        )
+    out.append("f0 AS (SELECT doc_id, leaf, tree, pos, tree AS own, '' AS proof, coalesce(changed, leaf) AS hash FROM d0)")
+    last = 0
+    for k in [*range(1, below + 1), *range(below + 2, below + upper + 2)]:
+        place = "f.own AS tree, p.pos // 8 AS pos" if k <= below else "p.tree, p.pos // 8 AS pos"
+        on = "f.tree = p.tree AND f.pos = p.pos" if k <= below else "p.tree = 0 AND p.pos = " + ("f.own" if k == below + 2 else "f.pos")
+        out.append(
+            f"f{k} AS (SELECT f.doc_id, f.leaf, {place}, f.own, f.proof || p.l || p.r AS proof,"
+            f" CASE WHEN real THEN sha256(p.l || f.hash || p.r) ELSE f.hash END AS hash FROM f{last} f JOIN p{k} p ON {on})"
+        )
+        last = k
+    return (
+        "WITH " + ",\n".join(out) + f"\nSELECT CAST(doc_id AS BIGINT) AS doc_id, leaf, s.hash AS subroot, r.hash AS root, sha256(proof) AS proof_sha256,"
+        f" f.hash AS folded_root, f.hash = r.hash AS verified FROM f{last} f JOIN n{below} s ON s.tree = f.own CROSS JOIN n{below + upper + 1} r"
+    )
+
+
+ORACLE["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
