@@ -18,6 +18,8 @@ out. A doc_id given several times has a frame for each row, in the order of the
 from __future__ import annotations
 
 import functools
+import json
+import re
 import struct
 
 import numpy as np
@@ -29,32 +31,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from murmur.llm.bpe import byte_letters
 from murmur.llm.common import batch, partitions, runs, texts
 
 END_ID = 2
 LEVEL = 3
 CHARS_AT_ONCE = 4 << 20
-CHUNKS_KEPT = 800_000
+MEMORY_BYTES = 96 << 20  # of remembered pieces and words; all are forgotten beyond that, between two runs of texts
+ENTRY_BYTES = 160  # of an entry besides the text and the ids
 MARK = "\x01"
 # Fixed values of the public zstandard formats.
 SKIPPABLE, SEEK_SKIPPABLE, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
+# Fixed value: how the vocabulary's file splits a text; and the same for plain letters, printable ASCII and the letters
+# of Latin-1, which no normal form changes and which have one lower case of one letter.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
 
 class Encoder:
-    """The library's tokenizer behind a memory for pieces between spaces.
+    """The library's tokenizer behind a memory for pieces between spaces and for the words they are made of.
 
     Spaces and line ends stand in no token of a vocabulary that drops white space, and its rules look at
-    nothing beyond them, so the ids of a text are those of its pieces in a row.
+    nothing beyond them, so the ids of a text are those of its pieces in a row. What the file's normaliser and splitter
+    do to plain letters is done here, where they are known ones, and the library's model gets the words; all
+    other pieces go through the whole library.
     """
 
     def __init__(self, path: str, by_piece: bool):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            given = json.load(f)
         self.tokenizer, self.by_piece = Tokenizer.from_file(path), by_piece
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        steps = _steps(given.get("normalizer"), "normalizers")
+        self.lower = any(x["type"] == "Lowercase" for x in steps)
+        splits = _steps(given.get("pre_tokenizer"), "pretokenizers")
+        plain = all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in steps)
+        known = [x.get("pattern", {}).get("Regex") for x in splits] == [WORDS, None] and splits[1]["type"] == "ByteLevel"
+        self.plain = plain and known and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"]
+        # a piece in which an added token may begin is the library's business
+        begins = "|".join(re.escape(t["content"][:2]) for t in given["added_tokens"]) or "(?!)"
+        self.added = re.compile(begins)
+        self.is_plain = re.compile(rf"(?!.*(?:{begins}))[!-~{LETTERS}]+").fullmatch
+        # the letters that stand for the bytes of a word in the vocabulary
+        self.letters = {b: ord(c) for b, c in byte_letters().items()}
         self.known: dict[str, bytes] = {}
+        self.held = 0  # bytes of the memory, about
         # a word of its own that parts pieces within one long text, if it has a single id
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
@@ -82,22 +109,52 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(items, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _plain(self, piece: str) -> bytes:
+        """Ids of a piece of plain letters, word by word."""
+        known, out = self.known, []
+        for w in PLAIN_WORDS.findall(piece.lower() if self.lower else piece):
+            if w not in known:
+                spelled = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.model.tokenize(spelled)]
+                self._remember(w, struct.pack(f"<{len(ids)}I", *ids))
+            out.append(known[w])
+        return b"".join(out)
+
+    def _remember(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += len(piece) + len(ids) + ENTRY_BYTES
+
     def encode(self, items: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._ids(items)
-        known = self.known
-        if len(known) > CHUNKS_KEPT:  # short pieces come again most
-            self.known = known = {k: v for k, v in known.items() if len(k) <= 6}
-            if len(known) > CHUNKS_KEPT // 2:
-                known.clear()
-        split = []
+        if self.held > MEMORY_BYTES:
+            self.known, self.held = {}, 0
+        known, split = self.known, []
         for x in items:
-            if x.isascii() and "<|" not in x:  # else case may matter
+            if self.lower and x.isascii() and not self.added.search(x):  # else case may matter
                 x = x.lower()
             split.append(x.replace("\n", " ").split(" "))
-        new = list({p for pieces in split for p in pieces if p not in known})
-        known.update(zip(new, self._pieces(new), strict=True))
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        rest = []
+        for p in set().union(*split):
+            # a piece is also a word of others, which may have been met just now
+            if p in known:
+                continue
+            if self.plain and self.is_plain(p):
+                ids = self._plain(p)
+                if p not in known:
+                    self._remember(p, ids)
+            else:
+                rest.append(p)
+        for p, ids in zip(rest, self._pieces(rest), strict=True):
+            self._remember(p, ids)
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+
+
+def _steps(given: dict | None, name: str) -> list[dict]:
+    """The steps of a normaliser or splitter as the file has them."""
+    if not given:
+        return []
+    return given[name] if given["type"] == "Sequence" else [given]
 
 
 @functools.lru_cache(maxsize=2)

@@ -7,6 +7,8 @@ import public_tokenizers as P
 import pyarrow.parquet as pq
 import pytest
 import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from murmur.llm import tokenfile
@@ -87,3 +89,20 @@ def test_query(spark):
         want.append((r["doc_id"], start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("abAB's'lve<|>019.,!?&%éÉßÿÀ×ª´µñ́\x01\x1c\t ΣİK", max_size=12), max_size=6))
+def test_pieces_as_the_library(items):
+    encoder = tokenfile.encoder(PATH, True)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(items)] == [LIBRARY.encode(x, add_special_tokens=False).ids for x in items]
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfile, "MEMORY_BYTES", 1000)
+    encoder = tokenfile.Encoder(PATH, True)
+    for i in range(200):
+        assert np.frombuffer(encoder.encode([f"word{i} again"])[0], "<u4").tolist() == LIBRARY.encode(f"word{i} again", add_special_tokens=False).ids
+        assert encoder.held < 4000
+    for kind in (dict(type="BertNormalizer"), None):  # of an unknown rule nothing is assumed
+        assert tokenfile._steps(kind, "normalizers") == ([kind] if kind else [])
