@@ -40,6 +40,7 @@ SPAN = AROUND + LENGTH
 CHUNK_BYTES = 4 << 20
 SLICE = 1 << 19
 STRINGS_AT_ONCE = 400_000
+SLICE_BYTES = 12 << 20  # of surroundings and places that a bucket compares at once
 HASH_BITS = 48  # of an anchor; a chance meeting costs a look at the bytes, no more
 CHUNKS = "chunk long, path string, offset long, size long"
 UNITS = "bucket int, chunk long, body binary"
@@ -243,7 +244,7 @@ def _shared(units: DataFrame, n: int) -> DataFrame:
             if rows:
                 yield _units(rows)
 
-    placed = units.repartition(n, "bucket").sortWithinPartitions("bucket")
+    placed = units.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
     return placed.mapInArrow(run, UNITS)
 
 
@@ -358,36 +359,67 @@ def _earlier(units: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for g in groups(batches, "bucket"):
-            got = []
-            for x in g.column("body").to_pylist():
-                around, ahead, steps, docs_at, ids = _unpack(x, "u1", "i4", "u1", "i8", "i8")
-                at = _climb(steps)
-                owner = np.repeat(ids, np.diff(np.append(docs_at, len(at))))
-                got.append((around, ahead + np.arange(len(at)), at.astype(np.uint32), owner))
-            text = np.concatenate([x[0] for x in got]).view(whole).ravel()
-            offsets = np.cumsum([0, *(len(x[0]) // (SPAN + 2) for x in got)])
-            u, merged = np.unique(text, return_inverse=True)
-            which = [merged[a + x[1].astype(np.int64)] for a, x in zip(offsets, got, strict=False)]
-            least = np.full(len(u), np.iinfo(np.int64).max)
-            for k, x in zip(which, got, strict=True):
-                np.minimum.at(least, k, x[3])
-            o = np.arange(WINDOWS)
-            rows = u.view(np.uint8).reshape(-1, SPAN + 2)
-            valid = (AROUND - o <= rows[:, SPAN, None]) & (o + ANCHOR <= rows[:, SPAN + 1, None])
-            first = np.where(valid, first_ids(rows, least), np.iinfo(np.int64).max)
-            out = []
-            for chunk, k, x in zip(g.column("chunk").to_pylist(), which, got, strict=True):
-                mask = ((first[k] < x[3][:, None]) * bit).sum(axis=1, dtype=np.uint32)
-                if mask.any():
-                    out.append((0, chunk, _pack(x[2][mask > 0], mask[mask > 0])))
-            if out:
-                yield _units(out)
-
-    placed = units.repartition(n, "bucket").sortWithinPartitions("bucket")
+            bodies = g.column("body")
+            held = sum(zstandard.frame_content_size(x.as_buffer()) for x in bodies)
+            slices = -(-held // SLICE_BYTES)
+            for number in range(slices):
+                got = [_sliced(x.as_py(), number, slices) for x in bodies]
+                text = np.concatenate([x[0] for x in got]).view(whole).ravel()
+                if not len(text):
+                    continue
+                offsets = np.cumsum([0, *(len(x[0]) for x in got)])
+                u, merged = np.unique(text, return_inverse=True)
+                del text
+                which = [merged[a + x[1]] for a, x in zip(offsets, got, strict=False)]
+                least = np.full(len(u), np.iinfo(np.int64).max)
+                for k, x in zip(which, got, strict=True):
+                    np.minimum.at(least, k, x[3])
+                o = np.arange(WINDOWS)
+                rows = u.view(np.uint8).reshape(-1, SPAN + 2)
+                valid = (AROUND - o <= rows[:, SPAN, None]) & (o + ANCHOR <= rows[:, SPAN + 1, None])
+                first = first_ids(rows, least)
+                first[~valid] = np.iinfo(np.int64).max
+                out = []
+                for chunk, k, x in zip(g.column("chunk").to_pylist(), which, got, strict=True):
+                    mask = ((first[k] < x[3][:, None]) * bit).sum(axis=1, dtype=np.uint32)
+                    if mask.any():
+                        out.append((0, chunk, _pack(x[2][mask > 0], mask[mask > 0])))
+                if out:
+                    yield _units(out)
+            pa.default_memory_pool().release_unused()
+
+    placed = units.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
     return placed.mapInArrow(run, UNITS)
 
 
-def _cut(joined: DataFrame) -> DataFrame:
+def _sliced(body: bytes, number: int, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a unit, the surroundings whose anchors fall into one slice of several, and which of them
+    stands at each place, the places and their documents. Equal anchors fall into one slice."""
+    around, ahead, steps, docs_at, ids = _unpack(body, "u1", "i4", "u1", "i8", "i8")
+    rows, at = around.reshape(-1, SPAN + 2), _climb(steps)
+    owner = np.repeat(ids, np.diff(np.append(docs_at, len(at))))
+    which = ahead + np.arange(len(at))
+    if slices > 1:
+        raw = np.zeros((len(rows), 24), np.uint8)
+        raw[:, :ANCHOR] = rows[:, AROUND : AROUND + ANCHOR]
+        w = raw.view(np.uint64)
+        # another mixture than the buckets', of which this one has a share
+        mine = mix(mix(mix(w[:, 2]) + w[:, 1]) + w[:, 0]) % np.uint64(slices) == number
+        here = mine[which]
+        which, at, owner = (np.cumsum(mine) - 1)[which[here]], at[here], owner[here]
+        rows = rows[mine]
+    return rows, which, at.astype(np.uint32), owner
+
+
+def _whole_letters(flat: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Also the other bytes of a letter (UTF-8) of which one goes."""
+    lead = (flat & 0xC0) != 0x80
+    lead[:1] = True
+    first = np.flatnonzero(lead)
+    return np.repeat(np.logical_or.reduceat(gone, first), np.diff(np.append(first, len(flat)))) if len(flat) else gone
+
+
+def _cut(joined: DataFrame, whole_letters: bool) -> DataFrame:
     """Step 4, chunk side: the spans to remove and the bytes that stay."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary())]
@@ -404,6 +436,8 @@ def _cut(joined: DataFrame) -> DataFrame:
                     np.add.at(change, s, 1)
                     np.add.at(change, s + LENGTH, -1)
             gone = np.cumsum(change[:n]) > 0
+            if whole_letters:
+                gone = _whole_letters(c.flat, gone)
             # a run ends where its text ends, even if the next text goes on with removed bytes
             edge = np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))
             inner = c.starts[(c.sizes > 0) & (c.starts > 0)]
@@ -426,12 +460,15 @@ def _cut(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, OUT)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, spans removed, kept bytes) of every row with a doc_id."""
+def remove_repeats(docs: DataFrame, whole_letters: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, spans removed, kept bytes) of every row with a doc_id.
+
+    With ``whole_letters`` a letter goes whole where a cut would halve it, so what stays of valid UTF-8 is valid.
+    """
     n = partitions(texts(docs))
     folder = new_folder(docs.sparkSession, "chunks")
     packed = store(chunks(docs, folder), "places")
     # Places are dealt out in turn: by a hash of few chunks some tasks would have no work.
     shared = _shared(_hash_units(packed.repartition(n), n), n)
     found = _earlier(_places(_with_chunks(packed, shared, n), n), n)
-    return _cut(_with_chunks(packed, found, n))
+    return _cut(_with_chunks(packed, found, n), whole_letters)

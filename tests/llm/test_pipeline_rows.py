@@ -36,6 +36,13 @@ def test_passages_of_rows_without_an_id(stage):
     assert any(i is None and t and len(t) < 20 for i, t in got)
 
 
+def test_letters_at_a_cut(stage):
+    """A letter that a cut would halve goes whole; what stands for unreadable bytes in a text of its own stays."""
+    # the repeated bytes end within the first letter after them: both begin with the same byte
+    got = dict(stage("repeated_passages", [(1, LONG + "é"), (2, "own \ufffd text " + LONG + "è end")]))
+    assert got[2] == "own \ufffd text  end"
+
+
 def test_benchmark_texts_without_an_id(stage):
     item = pq.read_table(f"{D}/benchmark.parquet").to_pylist()[0]["text"]
     assert stage("decontamination", [(None, item), (1, "clean"), (1, item), (None, "clean too")]) == sorted([(1, "clean"), (None, "clean too")], key=repr)

@@ -105,3 +105,13 @@ def test_empty_table(spark):
 def test_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist()]
     assert sorted(map(tuple, op2_suffix_dedup(spark, "/root/testdata/sf0.001").collect())) == brute(rows)
+
+
+def test_slices_of_a_bucket(spark, monkeypatch):
+    """Buckets compared slice by slice give the same as at once."""
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 3000)
+    rng = random.Random(11)
+    passages = ["".join(rng.choice("abcd ") for _ in range(140)) for _ in range(12)]
+    rows = [(i, "".join(rng.choice("xyz ") for _ in range(40)) + rng.choice(passages) + rng.choice(passages)) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(suffix_dedup.remove_repeats(df)) == brute(rows)

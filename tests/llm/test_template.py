@@ -38,7 +38,7 @@ ITEM = "Yesterday a farmer named Anna sold 12 apples and then Anna sold 30 pears
 ROWS = [
     (1, "Some words before. " + ITEM + ". Some words after"),
     (2, "Here we go. " + ITEM.replace("Anna", "Clara").replace("12", "55").replace("30", "8").replace("Bob", "Dirk")),
-    (3, ITEM.replace("then Anna", "then Clara")),  # one value of the item would stand for two
+    (3, ITEM.replace("then Anna", "then Clara")),  # one value of the item stands for two, all other words are verbatim
     (4, "Yesterday a farmer named Anna sold 12 apples and left the town for good without a word"),
     (5, None),
     (6, ""),
@@ -58,7 +58,8 @@ def test_items(spark):
     assert got[1] == (True, [10], True)
     assert got[2] == (True, [10], False)
     assert got[9] == (True, [13], True)
-    assert [i for i, v in got.items() if v[0]] and all(not got[i][0] for i in (3, 4, 5, 6, 7))
+    assert got[3] == (True, [10], True) and got[8] == (True, [10], True)
+    assert all(not got[i][0] for i in (4, 5, 6, 7))
     assert template.contaminated(docs, bench).count() == 10
 
 
