@@ -58,10 +58,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a text that was nothing else goes."""
     rows = _keyed(docs)
-    cut = suffix_dedup.remove_repeats(_texts(rows)).where(F.size("spans") > 0)
-    # a cut may halve a letter; its bytes go too
-    text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    cut = cut.select(F.col("doc_id").alias("_id"), text.alias("_text"))
+    cut = suffix_dedup.remove_repeats(_texts(rows), whole_letters=True).where(F.size("spans") > 0)
+    cut = cut.select(F.col("doc_id").alias("_id"), F.col("kept").cast("string").alias("_text"))
     # Catalyst knows the size of the chunks' places, not of the texts read from them: never broadcast these
     joined = rows.join(cut.hint("merge"), F.col(KEY) == F.col("_id"), "left")
     joined = joined.where("_id IS NULL OR _text <> ''")
