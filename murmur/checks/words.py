@@ -14,7 +14,7 @@ from murmur.operators import annotate as ann
 from murmur.operators import emotion, keywords, sentiment
 from murmur.operators.joins import literal_table
 from murmur.operators.tables import union_sources
-from murmur.operators.tokens import segment, tokenize, word_frequency_map
+from murmur.operators.tokens import segment, segment_probable, tokenize, word_frequency_map
 from murmur.plans import daily
 
 
@@ -115,34 +115,62 @@ def tokenize_query(spark, sf):
     return tokenize(_emotion_docs(spark, sf), ["doc_seq"])
 
 
-HAN = {"the": "自由", "of": "自由自在", "and": "在"}
+# Frequent endings of words rewritten in Han characters where they stand, with the blank behind them; the rest of a text stays.
+HAN = (("the", "自由"), ("of", "自由自在"), ("and", "在"))
+FREQUENT = (("自由", 90), ("自在", 60), ("自由自在", 2), ("在自", 40), ("由", 5), ("在", 30), ("由自", 8))
 
 
-@query(f"""WITH {src.TOKENS},
-han AS (
-  SELECT doc_seq, pos, CASE token WHEN 'the' THEN '自由' WHEN 'of' THEN '自由自在' WHEN 'and' THEN '在' END AS h
-  FROM tokens),
-cut AS (
-  SELECT doc_seq, regexp_extract_all(coalesce(string_agg(h, '' ORDER BY pos), ''), '自由自在|自由|由自|[一-鿿]') AS w
-  FROM han GROUP BY doc_seq)
-SELECT doc_seq, token, count(*) AS n, CAST(sum(pos) AS BIGINT) AS places FROM (
-  SELECT doc_seq, unnest(w) AS token, unnest(range(len(w))) AS pos FROM cut) GROUP BY ALL""")
+def _han_documents(spark, sf):
+    text = F.col("text")
+    for word, han in HAN:
+        text = F.regexp_replace(text, f"(?i){word} ", han)
+    return src.table(spark, sf, "documents").select(F.col("doc_id").alias("doc_seq"), text.alias("content"))
+
+
+HAN_TEXT = """
+d0 AS (SELECT doc_id AS doc_seq, text AS t0 FROM documents),
+""" + "".join(
+    f"d{i + 1} AS (SELECT doc_seq, regexp_replace(t{i}, '(?i){w} ', '{h}', 'g') AS t{i + 1} FROM d{i}),\n" for i, (w, h) in enumerate(HAN)
+) + "han AS (SELECT doc_seq, lower(t3) AS content FROM d3)"
+# A run of letters outside the Han block, in ranges that leave the block out.
+OTHER = r"(?:[0-9A-Za-z]|[^\x00-\x7F一-鿿\PL]|[^\x00-\x7F一-鿿\PM]|[^\x00-\x7F一-鿿\PN])+"
+
+
+@query(f"""WITH {HAN_TEXT},
+cut AS (SELECT doc_seq, regexp_extract_all(content, '自由自在|自由|由自|[一-鿿]|{OTHER}') AS w FROM han)
+SELECT doc_seq, CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS token FROM cut""")
 def segment_query(spark, sf):
-    # Frequent words rewritten in Han characters and put side by side.
-    swap = F.lower("text")
-    parts = F.regexp_extract_all(swap, F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
-    han = F.transform(
-        F.filter(parts, lambda w: w.isin(*HAN)),
-        lambda w: F.when(w == "the", "自由").when(w == "of", "自由自在").otherwise("在"),
-    )
-    docs = src.table(spark, sf, "documents").select(
-        F.col("doc_id").alias("doc_seq"), F.array_join(han, "").alias("content")
-    )
-    words = literal_table(spark, [("自由",), ("自由自在",), ("由自",)], ["word"])
-    cut = segment(docs, words, "doc_seq", 4)
-    return cut.groupBy("doc_seq", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("pos").cast("bigint").alias("places")
-    )
+    words = literal_table(spark, [("自由",), ("自由自在",), ("由自",), ("The",)], ["word"])
+    return segment(_han_documents(spark, sf), words, "doc_seq")
+
+
+@query(f"""WITH RECURSIVE {HAN_TEXT},
+pieces AS (SELECT doc_seq, regexp_extract_all(content, '[一-鿿]+|{OTHER}') AS w FROM han),
+runs AS (SELECT doc_seq, CAST(unnest(range(len(w))) AS INTEGER) AS run, unnest(w) AS piece FROM pieces),
+lex AS (SELECT word, CAST(freq AS DOUBLE) AS freq FROM {src.values(FREQUENT, "word, freq")}),
+rated AS (SELECT list({{'w': word, 'n': length(word), 'p': CAST(round((ln(freq) - ln((SELECT sum(freq) FROM lex))) * 1e9) AS BIGINT)}}) AS words,
+                 CAST(round(-ln(sum(freq)) * 1e9) AS BIGINT) AS floor FROM lex),
+kinds AS (SELECT DISTINCT piece FROM runs WHERE regexp_matches(piece, '^[一-鿿]')),
+graph AS (
+  SELECT piece, length(piece) AS i, [0::BIGINT] AS best, []::BIGINT[] AS take FROM kinds
+  UNION ALL
+  SELECT piece, i - 1, list_prepend(top.p, best), list_prepend(top.n, take) FROM (
+    SELECT g.*, list_max(list_concat(
+      CASE WHEN len([x FOR x IN words IF x.w = substr(piece, i, 1)]) = 0 THEN [{{'p': floor + best[1], 'n': 1::BIGINT}}] ELSE [] END,
+      [{{'p': x.p + best[x.n], 'n': x.n}} FOR x IN words IF substr(piece, i, x.n) = x.w])) AS top
+    FROM graph g, rated WHERE i > 0)),
+found AS (SELECT piece, take FROM graph WHERE i = 0),
+walk AS (
+  SELECT piece, take, 1::BIGINT AS spot, 0 AS k, NULL::VARCHAR AS token FROM found
+  UNION ALL
+  SELECT piece, take, spot + take[spot], k + 1, substr(piece, spot, take[spot]) FROM walk WHERE spot <= len(take)),
+parts AS (
+  SELECT doc_seq, run, k, token FROM runs JOIN walk USING (piece) WHERE k > 0
+  UNION ALL SELECT doc_seq, run, 1, piece FROM runs WHERE NOT regexp_matches(piece, '^[一-鿿]'))
+SELECT doc_seq, CAST(row_number() OVER (PARTITION BY doc_seq ORDER BY run, k) - 1 AS INTEGER) AS pos, token FROM parts""")
+def segment_word_graph(spark, sf):
+    words = literal_table(spark, FREQUENT, ["word", "freq"])
+    return segment_probable(_han_documents(spark, sf), words, "doc_seq")
 
 
 LEXED = src.TOKENS + f", {src.LEX}, {src.POL}, hits AS (SELECT t.*, category FROM tokens t JOIN lex ON token = word)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmur.functions.bind import once
@@ -135,6 +135,95 @@ def segment(
     return token_rows(by_doc, [doc, *carry])
 
 
+def _billionths(c: Column) -> Column:
+    return F.round(c * 1e9).cast("bigint")
+
+
+def segment_probable(
+    docs: DataFrame,
+    lexicon: DataFrame,
+    doc: str,
+    content: str = "content",
+    lower: bool = True,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Tokens by the most probable path through the word graph, for a frequency lexicon of any size.
+
+    ``lexicon`` has ``word`` and ``freq``; frequencies of a word given twice add up, those that aren't above 0 don't
+    count. A path's probability is the product of its words' shares of all frequencies; a character that is no word
+    counts as one met once. Logarithms are whole numbers of billionths, so sums are exact in any order: of equally
+    probable paths the one with the longer word first wins.
+
+    The graph of a run of Han characters has one row per character, with the words that begin there: they are looked up
+    by their first two characters, one row of the lexicon per pair, so nothing is multiplied. The best path is found
+    from the right end of the run, one step per character. Other runs are tokens as they are; ``pos``, ``carry`` and
+    the movement of documents are as in ``segment``.
+    """
+    name = F.lower("word") if lower else F.col("word")
+    words = lexicon.select(name.alias("word"), F.col("freq").cast("double").alias("freq")).filter(
+        (F.col("freq") > 0) & F.col("word").rlike(f"^[{HAN}]+$")
+    )
+    words = words.groupBy("word").agg(F.sum("freq").alias("freq"))
+    total, longest = words.agg(F.sum("freq"), F.max(F.length("word"))).first()
+    total, longest = total or 1.0, longest or 1
+    rated = words.select("word", F.length("word").alias("n"), _billionths(F.log("freq") - F.log(F.lit(total))).alias("p"))
+    single = rated.filter("n = 1").select(F.col("word").alias("c"), F.col("p").alias("_p"))
+    begins = rated.filter("n > 1").groupBy(F.substring("word", 1, 2).alias("two")).agg(
+        F.sort_array(F.collect_list(F.struct("n", "p", "word"))).alias("_words")
+    )
+    docs = by_document(docs.select(doc, *carry, content), doc)
+    text = F.lower(content) if lower else F.col(content)
+    found = F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
+    han = F.col("piece").rlike(f"^[{HAN}]")
+    chars = F.when(han, F.regexp_extract_all("piece", F.lit("."), F.lit(0)))
+    runs = docs.select(doc, *carry, F.posexplode(found).alias("run", "piece")).select(
+        doc, *carry, "run", "piece", chars.alias("chars")
+    )
+    places = F.transform("chars", lambda c, i: F.struct(c.alias("c"), F.array_join(F.slice("chars", i + 1, longest), "").alias("ahead")))
+    at = runs.filter("chars is not null").select(doc, "run", F.posexplode(places).alias("i", "x")).select(
+        doc, "run", "i", "x.c", "x.ahead", F.substring("x.ahead", 1, 2).alias("two")
+    )
+    at = small_lookup(small_lookup(at, single, ["c"], "left"), begins, ["two"], "left")
+    alone = F.struct(F.lit(1).alias("n"), F.coalesce("_p", _billionths(-F.log(F.lit(total)))).alias("p"))
+    fitting = F.transform(
+        F.filter("_words", lambda w: F.col("ahead").startswith(w["word"])), lambda w: F.struct(w["n"].alias("n"), w["p"].alias("p"))
+    )
+    edges = F.when(F.col("_words").isNull(), F.array(alone)).otherwise(F.concat(F.array(alone), fitting))
+    graphs = at.groupBy(doc, "run").agg(F.sort_array(F.collect_list(F.struct("i", edges.alias("edges"))), asc=False).alias("graph"))
+
+    # From the right: ``best`` holds the probabilities of the paths from each place to the end, the end's first.
+    def step(acc, place):
+        n = F.size(acc["best"])
+        paths = F.transform(place["edges"], lambda e: F.struct((e["p"] + F.element_at(acc["best"], n + 1 - e["n"])).alias("p"), e["n"].alias("n")))
+        return once(
+            F.array_max(paths),
+            lambda top: F.struct(F.concat(acc["best"], F.array(top["p"])).alias("best"), F.concat(acc["take"], F.array(top["n"])).alias("take")),
+        )
+
+    start = F.struct(F.array(F.lit(0).cast("bigint")).alias("best"), F.array().cast("array<int>").alias("take"))
+    taken = F.reverse(F.aggregate("graph", start, step, lambda acc: acc["take"]))
+
+    # The lengths taken, followed from the left: a place is a beginning where the last word ended.
+    def walk(acc, n):
+        here = acc["at"] == acc["next"]
+        return F.struct(
+            (acc["at"] + 1).alias("at"),
+            F.when(here, acc["at"] + n).otherwise(acc["next"]).alias("next"),
+            F.when(here, F.concat(acc["cuts"], F.array(F.struct(acc["at"].alias("at"), n.alias("n"))))).otherwise(acc["cuts"]).alias("cuts"),
+        )
+
+    none = F.array().cast("array<struct<at: int, n: int>>")
+    first = F.struct(F.lit(1).alias("at"), F.lit(1).alias("next"), none.alias("cuts"))
+    cuts = F.aggregate("taken", first, walk, lambda acc: acc["cuts"])
+    paths = graphs.select(doc, "run", taken.alias("taken")).select(doc, "run", cuts.alias("cuts"))
+    pieces = runs.join(paths, [doc, "run"], "left")
+    spelled = F.transform("cuts", lambda c: F.array_join(F.slice("chars", c["at"], c["n"]), ""))
+    by_doc = pieces.select(doc, *carry, "run", F.coalesce(spelled, F.array("piece")).alias("words")).groupBy(doc, *carry).agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("run", "words"))), lambda r: r["words"])).alias("words")
+    )
+    return token_rows(by_doc, [doc, *carry])
+
+
 def tokenize_with(
     docs: DataFrame,
     doc: str,
@@ -144,14 +233,15 @@ def tokenize_with(
 ) -> DataFrame:
     """Tokens of documents; ``words`` is a lexicon of any size for Han text.
 
-    A table with a column ``word``, or the words themselves. Without any, Han text
-    falls apart into single characters.
+    A table with a column ``word``, or the words themselves: the longest match counts. With a column ``freq`` as
+    well the most probable path does. Without any, Han text falls apart into single characters.
     """
     if words is None or (not isinstance(words, DataFrame) and not words):
         return tokenize(docs, [doc, *carry], lower=lower)
     if not isinstance(words, DataFrame):
         words = literal_table(docs.sparkSession, [(w,) for w in words], ["word"])
-    return segment(docs, words, doc, lower=lower, carry=carry)
+    cut = segment_probable if "freq" in words.columns else segment
+    return cut(docs, words, doc, lower=lower, carry=carry)
 
 
 def word_frequency(docs: DataFrame, doc: str, words: str = "words") -> DataFrame:
