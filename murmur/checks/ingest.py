@@ -48,6 +48,63 @@ def upsert_latest_by_key(spark, sf):
     return last.select("topic", "partition", "offset", "key", F.col("value.k").alias("k"))
 
 
+# Values that end too early or too late; a name given twice and other types are none of these.
+ENDINGS = ("]", "]x", "],[2", "} ", " x", ",", "")
+BROKEN = MSG + ", broken AS (SELECT \"offset\", value || CASE CAST(\"offset\" % 9 AS INTEGER) " + " ".join(
+    f"WHEN {i} THEN '{e}'" for i, e in enumerate(ENDINGS)
+) + " ELSE '' END AS value FROM messages)"
+
+
+@query(f"""WITH {BROKEN}
+SELECT "offset", TRY_CAST(json_extract_string(value, '$.k') AS BIGINT) AS k
+FROM broken WHERE json_valid(value)""")
+def json_one_value_to_its_end(spark, sf):
+    ends = F.element_at(F.array(*(F.lit(e) for e in ENDINGS), F.lit(""), F.lit("")), (F.col("offset") % 9 + 1).cast("int"))
+    rows = src.messages(spark, sf).withColumn("value", F.concat("value", ends))
+    good, _ = ingest.parse_messages(rows, PROPS)
+    return good.select("offset", F.col("value.k").alias("k"))
+
+
+# Messages that give some fields only: every third has no ``k``, every fifth sets ``s`` to null, others leave it out.
+FIELDS = "k bigint, s string, n bigint"
+PARTIAL = MSG + """,
+partial AS (
+  SELECT topic, partition, "offset", key, timestamp, "offset" % 3 <> 0 AS has_k, "offset" % 2 = 0 OR "offset" % 5 = 0 AS has_s,
+         "offset" % 7 = 0 AS has_n, CAST(json_extract_string(value, '$.k') AS BIGINT) AS k,
+         CASE WHEN "offset" % 5 <> 0 THEN topic END AS s, "offset" AS n
+  FROM messages WHERE json_valid(value))
+"""
+
+
+def partial_messages(spark, sf):
+    """Messages whose values name some of the fields."""
+    good, _ = ingest.parse_messages(src.messages(spark, sf), PROPS)
+    at = F.col("offset")
+    parts = F.array(
+        F.when(at % 3 != 0, F.concat(F.lit('"k":'), F.coalesce(F.col("value.k").cast("string"), F.lit("null")))),
+        F.when(at % 5 == 0, F.lit('"s":null')).when(at % 2 == 0, F.concat(F.lit('"s":"'), "topic", F.lit('"'))),
+        F.when(at % 7 == 0, F.concat(F.lit('"n":'), at.cast("string"))),
+    )
+    return good.withColumn("value", F.concat(F.lit("{"), F.array_join(F.array_compact(parts), ","), F.lit("}")))
+
+
+MERGED = PARTIAL + """,
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY timestamp DESC, partition DESC, "offset" DESC) AS r FROM partial),
+merged AS (
+  SELECT key, arg_min(struct_pack(t := topic, p := partition, o := "offset"), r) AS last,
+         arg_min(struct_pack(v := k), r) FILTER (has_k) AS k, arg_min(struct_pack(v := s), r) FILTER (has_s) AS s,
+         arg_min(struct_pack(v := n), r) FILTER (has_n) AS n
+  FROM ranked GROUP BY key)
+"""
+
+
+@query(f'WITH {MERGED} SELECT key, last.t AS topic, last.p AS partition, last.o AS "offset", k.v AS k, s.v AS s, n.v AS n FROM merged')
+def upsert_fields_by_key(spark, sf):
+    merged = ingest.merge_fields_by_key(partial_messages(spark, sf), FIELDS, ["key"], ["timestamp", "partition", "offset"])
+    return merged.select("key", "topic", "partition", "offset", "value.*")
+
+
 @query(f"""WITH {MSG} SELECT topic, partition, "offset", key, value FROM messages
 UNION ALL SELECT topic, partition, "offset", key, value FROM messages WHERE topic = 'error'""")
 def append_messages(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from murmur.checks import inputs as src
 from murmur.checks.aggregates import SETTLED  # noqa: F401
-from murmur.checks.ingest import LATEST, PROPS
+from murmur.checks.ingest import FIELDS, LATEST, MERGED, PROPS, partial_messages
 from murmur.checks.registry import query
 from murmur.checks.words import KEYWORDS
 from murmur.operators.articles import normalize_for_keywords
@@ -35,6 +35,15 @@ def stream_ingest_upsert(spark, sf):
     return last.select("topic", "partition", "offset", "key", F.col("value.k").alias("k"))
 
 
+@query(f'WITH {MERGED} SELECT key, last.t AS topic, last.p AS partition, last.o AS "offset", k.v AS k, s.v AS s, n.v AS n FROM merged')
+def stream_upsert_fields(spark, sf):
+    path = _stream(spark, partial_messages(spark, sf), "in")
+    source = io.read_messages(spark, "parquet", FILES, path, stream=True)
+    table = scratch(spark, "fields")
+    ingest.ingest_fields_stream(source, FIELDS, table, scratch(spark, "bad"), scratch(spark, "ckpt")).awaitTermination()
+    return ingest.read_fields(spark, table, FIELDS).select("key", "topic", "partition", "offset", "value.*")
+
+
 @query(f"""WITH {KEYWORDS}
 SELECT publish_date, source, CAST(rank AS INTEGER) AS rank, keyword, cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY publish_date, source ORDER BY cnt DESC, keyword) AS rank

@@ -96,7 +96,7 @@ def test_lexicon_of_fifty_thousand_words(spark, monkeypatch, limit):
         monkeypatch.setattr(tokens, "small_lookup", lambda *a: lookup(*a, limit=limit))
     rng = random.Random(9)
     letters = [chr(0x4E00 + i) for i in range(400)]
-    rows = list({"".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 2, 2, 3]))): float(rng.randrange(1, 10**6)) for _ in range(68_000)}.items())
+    rows = list({"".join(rng.choice(letters) for _ in range(rng.choice([1, 2, 2, 2, 3]))): float(rng.randrange(1, 10**6)) for _ in range(80_000)}.items())
     assert len(rows) > 50_000
     texts = ["".join(rng.choice(letters) for _ in range(300)) for _ in range(30)]
     assert tokens_of(spark, texts, rows) == [programme(t, dict(rows), 3) for t in texts]
