@@ -431,16 +431,12 @@ def annotate(spark, sf):
     )
 
 
-@query("""SELECT doc_id, CAST(quality AS DOUBLE) AS label, true AS sure, true AS accurate
-FROM documents JOIN labels USING (doc_id) WHERE doc_id % 5 = 0""")
+# SQL can't train a model; tests hold the predictions against the labels.
+@query()
 def sentiment_classifier(spark, sf):
-    """Every test row with a label and a confidence; at least three quarters of all are right."""
+    """Every document with its predicted class and confidence; the model learns from labels of documents not held out."""
+    docs = src.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     labels = src.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    labelled = src.table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
-    train, test = labelled.filter("doc_id % 5 <> 0"), labelled.filter("doc_id % 5 = 0")
-    judged = sentiment.apply_sentiment(sentiment.train_sentiment(train), test)
-    right = F.when(F.col("predicted") == F.when(F.col("label") == 1, "positive").otherwise("negative"), 1.0).otherwise(0.0)
-    share = judged.agg(F.avg(right).alias("share"))
-    return judged.crossJoin(F.broadcast(share)).select(
-        "doc_id", "label", F.col("confidence").between(0.5, 1.0).alias("sure"), (F.col("share") >= 0.75).alias("accurate")
-    )
+    held_out = F.col("doc_id") % 5 == 0
+    model = sentiment.train_sentiment(docs.join(labels.filter("label is not null"), "doc_id").filter(~held_out))
+    return sentiment.apply_sentiment(model, docs).select("doc_id", "predicted", "confidence", held_out.alias("held_out"))
