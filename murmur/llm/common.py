@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -64,21 +63,23 @@ def sampled(df: DataFrame, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < int(parts * rows / n))
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int, chars: int
-) -> list[tuple[str, int]]:
-    """About ``rows`` (text, label) of either class, at most ``chars`` of each text.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int) -> DataFrame:
+    """(doc_id, text, label) of about ``rows`` documents of either class, with their whole texts.
 
-    The sample does not depend on the partitions. Rows without an id, a text or a label of 0 or 1
-    take no part.
+    The sample does not depend on the partitions. Rows without an id, a text or a label of 0 or 1 take no part, nor do
+    ids with both labels; of several texts with one id the smallest counts. ``part`` (0, 1 or 2) deals the documents
+    out evenly. What comes back is bounded by ``rows``, so it is spread over the session's partitions.
     """
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    given = given.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep).dropDuplicates(["doc_id"])
+    given = given.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & keep)
+    given = given.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_other"))
+    given = given.where("label = _other").drop("_other")
     ids = sampled(given.where("label = 0"), rows).unionByName(sampled(given.where("label = 1"), rows))
-    body = texts(docs).where("text <> ''").select("doc_id", F.substring("text", 1, chars).alias("text"))
     # ids are at most some 2 * rows, a known bound
-    got = body.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").collect()
-    return [(r["text"], r["label"]) for r in sorted(got, key=lambda r: (crc32(str(r["doc_id"]).encode()), r["doc_id"], r["text"]))]
+    found = texts(docs).where("text <> ''").join(F.broadcast(ids), "doc_id")
+    found = found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    found = found.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)).cast("int"))
+    return found.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
 
 def share(labels: DataFrame, label: str, keep: Column) -> float | None:

@@ -4,22 +4,27 @@ Folding undoes disguises: compatibility forms, look-alike letters of other scrip
 digits and signs used as letters, and letters drawn out. Words stand between single spaces in
 the folded text, so that an entry " word " is a whole word and " stem" a beginning of words.
 
-The lexicon is learnt: stems and words whose share among toxic examples is far above their share
-among clean ones. Exceptions are learnt too: two-word phrases that hold an entry but occur among
+The lexicon is learnt from the whole texts of a bounded number of labelled rows; tasks reduce each text to its words, stems
+and phrases, Spark adds these up, and the driver gets those that pass the bounds on counts. It holds stems and words
+whose share among toxic examples is far above their share among clean ones. Exceptions are learnt too: two-word phrases that hold an entry but occur among
 clean examples mostly; a hit inside an exception does not count. The weights of all
 other hits are summed, divided by a power of the length, and calibrated by a logistic fit on
 examples that had no part in the choice of the lexicon.
 
 A text without a hit, an empty one included, gets the score of no evidence. Without labelled examples
-the lexicon is empty and all texts have the share of toxic examples (0 without any).
+the lexicon is empty and all texts have the share of toxic examples (0 without any). Ids labelled both ways take no part in the
+fit. Rows with a null id are scored too, and are in no fold of labelled rows.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -28,15 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmur.llm.common import batch, labelled_sample, logistic, share, sigmoid, texts, to_share
+from murmur.llm.common import batch, labelled_rows, logistic, share, sigmoid, store, texts, to_share
 
 SAMPLE_ROWS = 6_000  # of each class: two thirds choose the lexicon, the rest calibrate
-SAMPLE_CHARS = 20_000  # of each example; what is scored is always the whole text
 MIN_TEXTS = 6
 MIN_WEIGHT = 2.5
-MAX_ENTRIES = 5_000
 STEMS = (4, 5, 6, 7)
 LENGTH_POWER = 0.5
+HELD = 1 << 18  # counts a task keeps before it passes them on
 SCHEMA = "doc_id long, hits int, density double, score double"
 
 # Letters of other scripts that look like Latin ones.
@@ -50,7 +54,6 @@ LOOKALIKES = dict(
 # Digits and signs that stand for letters inside a word.
 DIGITS = dict(zip("01345789@$!|+", "oieastbgasiit", strict=True))
 SIGNS = re.compile(r"[0-9@$!|+]")
-LONGEST = 24  # characters of a word that may be a disguise
 SPLIT = re.compile(r"[\W_]+")
 DRAWN = re.compile(r"(.)\1{2,}")
 PLAIN = str.maketrans(LOOKALIKES)
@@ -62,7 +65,7 @@ SPELLED = str.maketrans(DIGITS)
 def _undo(word: str) -> str:
     """A word with digits or signs among its letters, spelled with letters."""
     core = word.strip(".,;:!?|+()[]{}\"'*&%#-")
-    if 3 <= len(core) <= LONGEST and any(c.isalpha() for c in core) and SIGNS.search(core):
+    if len(core) >= 3 and any(c.isalpha() for c in core) and SIGNS.search(core):
         return core.translate(SPELLED)
     return word
 
@@ -96,40 +99,60 @@ def _features(folded: str) -> set[str]:
     return out
 
 
-def _choose(sample: list[tuple[str, int]]) -> tuple[dict[str, float], tuple[str, ...]]:
-    counts, size = (Counter(), Counter()), [0, 0]
-    for x, y in sample:
-        size[y] += 1
-        counts[y].update(_features(x))
-    odds = {}
-    for f, n in counts[1].items():
-        if n >= MIN_TEXTS:
-            # clean texts count with two more than seen, so that rare chance finds weigh little
-            w = np.log(n / (size[1] + 1)) - np.log((counts[0][f] + 0.5) / (size[0] + 1))
-            # how often chance would put the feature into so many more toxic texts
-            both = n + counts[0][f]
-            expected = both * size[1] / (size[0] + size[1])
-            if w >= MIN_WEIGHT and (n - expected) ** 2 / max(expected, 1e-9) > 12:
-                odds[f] = float(w)
-    best = sorted(odds, key=lambda f: (-odds[f] * counts[1][f], f))
+def _counted(sample: DataFrame, of: Callable[[str], set[str]]) -> DataFrame:
+    """(feature, n0, n1): in how many clean and toxic examples each feature occurs."""
+    schema = pa.schema([("feature", pa.string()), ("n0", pa.int64()), ("n1", pa.int64())])
+
+    def flush(counts):
+        names = list(counts[0].keys() | counts[1].keys())
+        return batch(schema.names, [names, *([c[f] for f in names] for c in counts)], schema)
+
+    def run(batches):
+        counts = (Counter(), Counter())
+        for b in batches:
+            for x, y in zip(b.column(0), b.column(1)):
+                counts[y.as_py()].update(of(x.as_py()))
+                if len(counts[0]) + len(counts[1]) > HELD:
+                    yield flush(counts)
+                    counts = (Counter(), Counter())
+        yield flush(counts)
+
+    found = sample.select("folded", "label").mapInArrow(run, "feature string, n0 long, n1 long")
+    return found.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def _entries(sample: DataFrame) -> dict[str, float]:
+    """Words and stems with their weights; an entry that a shorter stem covers as well adds nothing."""
+    size = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    clean, toxic = size.get(0, 0), size.get(1, 0)
+    # clean texts count with two more than seen, so that rare chance finds weigh little
+    weight = F.log(F.col("n1") / (toxic + 1)) - F.log((F.col("n0") + 0.5) / (clean + 1))
+    # how often chance would put the feature into so many more toxic texts
+    expected = (F.col("n0") + F.col("n1")) * (toxic / max(clean + toxic, 1))
+    found = _counted(sample, _features).where(F.col("n1") >= MIN_TEXTS).withColumns({"weight": weight, "expected": expected})
+    found = found.where((F.col("weight") >= MIN_WEIGHT) & ((F.col("n1") - F.col("expected")) ** 2 > 12 * F.col("expected")))
     entries: dict[str, float] = {}
-    for f in best:
-        if len(entries) >= MAX_ENTRIES:
-            break
+    for r in sorted(found.collect(), key=lambda r: (-r["weight"] * r["n1"], r["feature"])):
+        f = r["feature"]
         stem = f.rstrip()
-        # an entry that a shorter stem covers as well adds nothing
         if not any(stem[:n] in entries for n in range(2, len(stem) + (f != stem))):
-            entries[f] = odds[f]
-    phrases = (Counter(), Counter())
-    for x, y in sample:
-        words = x.split()
-        seen = set()
-        for a, b in zip(words, words[1:]):
-            if any(f" {w} " in entries or any(f" {w[:n]}" in entries for n in STEMS) for w in (a, b)):
-                seen.add(f" {a} {b} ")
-        phrases[y].update(seen)
-    spared = tuple(sorted(p for p, n in phrases[0].items() if n >= 3 and n > 3 * phrases[1][p]))
-    return entries, spared[:MAX_ENTRIES]
+            entries[f] = r["weight"]
+    return entries
+
+
+def _spared(sample: DataFrame, entries: dict[str, float]) -> tuple[str, ...]:
+    """Phrases of two words that hold an entry and are those of clean examples."""
+
+    def entry(w: str) -> bool:
+        return f" {w} " in entries or any(f" {w[:n]}" in entries for n in STEMS)
+
+    def phrases(folded: str) -> set[str]:
+        words = folded.split()
+        held = {w for w in set(words) if entry(w)}
+        return {f" {a} {b} " for a, b in zip(words, words[1:]) if a in held or b in held}
+
+    found = _counted(sample, phrases).where("n0 >= 3 AND n0 > 3 * n1").select("feature").collect()
+    return tuple(sorted(r["feature"] for r in found))
 
 
 class Finder:
@@ -147,10 +170,12 @@ class Finder:
 
     def find(self, text: str) -> tuple[int, float]:
         """Number of hits and their weight over a power of the number of words."""
-        if not self.any or not text:
-            return 0, 0.0
-        folded = fold_text(text)
+        return self.find_folded(fold_text(text)) if self.any and text else (0, 0.0)
+
+    def find_folded(self, folded: str) -> tuple[int, float]:
         hits, spared = {}, []
+        if not self.any:
+            return 0, 0.0
         for end, (n, w) in self.machine.iter(folded):
             start = end - n + 1
             if w is None:
@@ -158,7 +183,10 @@ class Finder:
             elif w > hits.get(start, 0):  # of a word's entries the heaviest counts
                 hits[start] = w
         if spared:
-            hits = {p: w for p, w in hits.items() if not any(a <= p and p + 1 < b for a, b in spared)}
+            spared.sort()
+            starts = [a for a, _ in spared]
+            ends = [0, *accumulate((b for _, b in spared), max)]  # the farthest end of all that start so early
+            hits = {p: w for p, w in hits.items() if ends[bisect_right(starts, p)] <= p + 1}
         if not hits:
             return 0, 0.0
         return len(hits), sum(hits.values()) / (20 + folded.count(" ")) ** LENGTH_POWER
@@ -169,19 +197,48 @@ def _columns(found: list[tuple[int, float]]) -> np.ndarray:
     return np.column_stack([np.log1p(density * 10), np.minimum(hits, 3)])
 
 
+def _folded(rows: DataFrame) -> DataFrame:
+    """(label, part, folded) of examples."""
+    schema = pa.schema([("label", pa.int32()), ("part", pa.int32()), ("folded", pa.string())])
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):  # one at a time: these are whole texts
+                yield batch(schema.names, [b.column(0)[i : i + 1], b.column(1)[i : i + 1], [fold_text(b.column(2)[i].as_py())]], schema)
+
+    return rows.select("label", "part", "text").mapInArrow(run, "label int, part int, folded string")
+
+
+def _found(sample: DataFrame, model: Model) -> list[tuple[int, int, float]]:
+    """(label, hits, density) of the examples that calibrate."""
+    schema = pa.schema([("label", pa.int32()), ("hits", pa.int32()), ("density", pa.float64())])
+
+    def run(batches):
+        finder = Finder(model)
+        for b in batches:
+            found = [finder.find_folded(x.as_py()) for x in b.column(1)]
+            yield batch(schema.names, [b.column(0), [n for n, _ in found], [d for _, d in found]], schema)
+
+    rows = sample.select("label", "folded").mapInArrow(run, "label int, hits int, density double").collect()
+    return sorted((r["label"], r["hits"], r["density"]) for r in rows)
+
+
 def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from at most ``rows`` labelled texts of either class, chosen by the hash of their id."""
-    sample = labelled_sample(docs, labels, label, keep, rows, SAMPLE_CHARS)
-    if len({y for _, y in sample}) < 2:
-        return Model({}, (), (), float(sample[0][1]) if sample else 0.0)
+    """Learn from the whole texts of about ``rows`` labelled documents of either class, chosen by the hash of their id."""
+    sample = store(_folded(labelled_rows(docs, labels, label, keep, rows)), "toxicity-examples")
+    seen = sorted(r["label"] for r in sample.select("label").distinct().collect())
+    if len(seen) < 2:
+        return Model({}, (), (), float(seen[0]) if seen else 0.0)
     prior = share(labels, label, keep)
-    entries, spared = _choose([(fold_text(x), y) for i, (x, y) in enumerate(sample) if i % 3])
-    model = Model(entries, spared, (), prior)
-    finder = Finder(model)
-    rest = [(x, y) for i, (x, y) in enumerate(sample) if i % 3 == 0]
-    y = np.array([y for _, y in rest])
-    w = logistic(_columns([finder.find(x) for x, _ in rest]), y)
-    return Model(entries, spared, to_share(w, y, prior), prior)
+    chosen = sample.where("part > 0")
+    entries = _entries(chosen)
+    model = Model(entries, _spared(chosen, entries) if entries else (), (), prior)
+    rest = _found(sample.where("part = 0"), model)
+    y = np.array([v for v, _, _ in rest])
+    if len(set(y.tolist())) < 2:
+        return Model({}, (), (), prior)
+    w = logistic(_columns([(n, d) for _, n, d in rest]), y)
+    return Model(entries, model.exceptions, to_share(w, y, prior), prior)
 
 
 def _scores(finder: Finder, model: Model, items: list[str]) -> tuple[list, np.ndarray]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmur.llm import langid, quality, toxicity
-from murmur.llm.common import fold, labelled_sample, logistic, sigmoid
+from murmur.llm.common import fold, labelled_rows, logistic, sigmoid
 from murmur.llm.queries import op3_toxicity, op5_quality, op7_language
 
 D = "/root/testdata/sf0.1"
@@ -50,9 +50,64 @@ def test_logistic_finds_the_rate():
 
 def test_sample_does_not_depend_on_partitions(spark):
     docs, given = (spark.read.parquet(f"{D}/{t}.parquet") for t in ("documents", "labels"))
-    a = labelled_sample(docs, given, "toxic", F.lit(True), 100, 50)
-    assert a == labelled_sample(docs.repartition(7), given.repartition(3), "toxic", F.lit(True), 100, 50)
-    assert all(len(x) <= 50 for x, _ in a) and 100 < len(a) < 300
+
+    def rows(d, g):
+        return sorted(tuple(r) for r in labelled_rows(d, g, "toxic", F.lit(True), 100).collect())
+
+    a = rows(docs, given)
+    assert a == rows(docs.repartition(7), given.repartition(3)) and 100 < len(a) < 300
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    assert all(whole[i] == t for i, _, t, _ in a) and len({p for *_, p in a}) == 3
+
+
+def test_sample_of_contradicting_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, ""), (None, "d"), (4, "e")], "doc_id long, text string")
+    given = labels(spark, [(1, 1, 1), (1, 1, 1), (2, 1, 0), (2, 0, 1), (3, 1, 1), (None, 1, 1), (4, 5, None)])
+    assert [tuple(r)[:3] for r in labelled_rows(docs, given, "toxic", F.lit(True), 10).collect()] == [(1, 1, "a")]
+
+
+def test_lexicon_comes_from_whole_texts(spark):
+    """Entries and exceptions that stand far behind the beginning of each text."""
+    filler = "plain words of no account " * 1_500  # 39,000 characters before what matters
+
+    def text(i):
+        return filler + ("vilestword" if i % 2 else "dear vilestword" if i % 40 == 0 else "gentle")
+
+    rows = [(i, text(i), i % 2) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(5)
+    model = toxicity.fit(docs, labels(spark, [(i, y, y) for i, _, y in rows]), F.lit(True))
+    assert " dear vilestword " in model.exceptions and any(f.strip() in "vilestword" for f in model.entries)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert min(v for i, v in got.items() if i % 2) > 0.5 > max(v for i, v in got.items() if i % 2 == 0)
+
+
+def test_counts_equal_plain_ones(spark):
+    sample = spark.createDataFrame([(0, " a b "), (1, " b b c "), (1, " c "), (0, "  ")], "label int, folded string").repartition(3)
+    got = {r.feature: (r.n0, r.n1) for r in toxicity._counted(sample, lambda x: set(x.split())).collect()}
+    assert got == {"a": (1, 0), "b": (1, 1), "c": (0, 2)}
+
+
+def test_exceptions_cover_as_a_plain_search():
+    r = np.random.default_rng(1)
+    model = toxicity.Model({" a ": 1.0, " bad": 2.0}, (" b a ", " a b ", " bad c ", " c bad "), (0.0, 1.0, 0.0), 0.1)
+    finder = toxicity.Finder(model)
+    for _ in range(200):
+        words = r.choice(["a", "b", "c", "bad", "badly"], 30).tolist()
+        pairs = {("b", "a"), ("a", "b"), ("bad", "c"), ("c", "bad")}
+        spared = {j for i in range(29) if (words[i], words[i + 1]) in pairs for j in (i, i + 1)}
+        hits = [1.0 if w == "a" else 2.0 for i, w in enumerate(words) if (w == "a" or w.startswith("bad")) and i not in spared]
+        n, density = finder.find(" ".join(words))
+        assert n == len(hits) and np.isclose(density, sum(hits) / (20 + 31) ** 0.5)
+
+
+def test_long_disguise():
+    assert toxicity.fold_text("antidisestabl1shmentari4ni5m") == " antidisestablishmentarianism "
+
+
+def test_dictionary_pieces_cover_whole_texts(spark):
+    text = "".join(chr(97 + i % 26) for i in range(3 * quality.PIECE + 7))
+    rows = spark.createDataFrame([(1, text, 1), (2, "short", 1), (3, "other", 0)], "doc_id long, text string, label int")
+    assert b"".join(quality._pieces(rows, 1, 10)) == (text + "short").encode() and quality._pieces(rows, 0, 10) == [b"other"]
 
 
 def auc(score, y):
