@@ -64,7 +64,7 @@ def sampled(df: DataFrame, rows: int) -> DataFrame:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, rows: int) -> DataFrame:
-    """(doc_id, text, label) of about ``rows`` documents of either class, with their whole texts.
+    """(doc_id, label, text, part) of about ``rows`` documents of either class, with their whole texts.
 
     The sample does not depend on the partitions. Rows without an id, a text or a label of 0 or 1 take no part, nor do
     ids with both labels; of several texts with one id the smallest counts. ``part`` (0, 1 or 2) deals the documents

@@ -31,6 +31,8 @@ PIECE = 4_096  # characters of a piece of an example for a dictionary
 TRAIN_PIECES = 4_096  # of each class, for the dictionaries
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
+# Fixed for the trainer: left to search for them, it can settle on a dictionary of a few kilobytes.
+TRAINER = {"k": 256, "d": 8}
 SCHEMA = "doc_id long, difference double, score double"
 
 
@@ -91,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "quality"
     chosen = sample.where("part > 0")
     try:
         dictionaries = [
-            zstandard.train_dictionary(DICTIONARY_BYTES, _pieces(chosen, k, TRAIN_PIECES), level=LEVEL).as_bytes()
+            zstandard.train_dictionary(DICTIONARY_BYTES, _pieces(chosen, k, TRAIN_PIECES), level=LEVEL, **TRAINER).as_bytes()
             for k in (1, 0)
         ]
     except (zstandard.ZstdError, ValueError):  # too few or too small examples
