@@ -16,6 +16,7 @@ from murmur.operators.joins import literal_table
 from murmur.operators.tables import union_sources
 from murmur.operators.tokens import segment, segment_probable, tokenize, word_frequency_map
 from murmur.plans import daily
+from murmur.session import scratch
 
 
 def _keyword_tokens(spark, sf):
@@ -354,15 +355,19 @@ def gazetteer_entities(spark, sf):
 
 def _with_entities(spark, sf):
     """Annotated documents; capitalised names stand for entities."""
+    return _named(_annotated(spark, sf))
+
+
+def _named(annotated):
     kind = lambda w: F.when(w.rlike("^[A-D]"), "PERSON").when(F.length(w) > 6, "ORG").otherwise("GPE")
     names = F.filter("words", lambda w: w.rlike("^[A-Z]"))
-    return _annotated(spark, sf).withColumn(
+    return annotated.withColumn(
         "entities", F.transform(names, lambda w: F.struct(w.alias("entity"), kind(w).alias("type")))
     )
 
 
 ENTITIES = CASED + r""",
-names AS (
+names AS MATERIALIZED (
   SELECT url, publish_date, word AS entity,
          CASE WHEN regexp_matches(word, '^[A-D]') THEN 'PERSON' WHEN length(word) > 6 THEN 'ORG' ELSE 'GPE' END AS type,
          row_number() OVER (PARTITION BY url ORDER BY pos_idx) - 1 AS idx
@@ -378,17 +383,19 @@ def entity_mentions(spark, sf):
 
 
 @query(f"""WITH {ENTITIES},
-w AS (SELECT url, word, pos, count(*) OVER (PARTITION BY url, word) AS frequency FROM tagged),
-e AS (SELECT url, entity, type, count(*) OVER (PARTITION BY url, entity) AS n FROM names),
-i AS (SELECT DISTINCT a.url, publish_date, author FROM articles a JOIN w USING (url))
+wn AS MATERIALIZED (SELECT url, word, count(*) AS frequency FROM tagged GROUP BY ALL),
+en AS MATERIALIZED (SELECT url, entity, count(*) AS n FROM names GROUP BY ALL),
+i AS (SELECT DISTINCT url, publish_date, author FROM articles WHERE url IN (SELECT url FROM wn))
 SELECT 'article_info' AS name, url, CAST(publish_date AS VARCHAR) AS a, author AS b, CAST(NULL AS BIGINT) AS n FROM i
-UNION ALL SELECT 'word_pos_frequency', url, word, pos, frequency FROM w
-UNION ALL SELECT 'named_entities', url, entity, type, n FROM e""")
+UNION ALL SELECT 'word_pos_frequency', url, word, pos, frequency FROM tagged JOIN wn USING (url, word)
+UNION ALL SELECT 'named_entities', url, entity, type, n FROM names JOIN en USING (url, entity)""")
 def normalize_annotated(spark, sf):
-    articles = _emotion_docs(spark, sf).select("url", "publish_date", "title", "author", "content")
-    docs = ann.annotated_content(
-        articles, _with_entities(spark, sf).drop("publish_date"), "ptt"
-    )
+    annotated = ann.annotate_words(_emotion_docs(spark, sf), ["url", "publish_date", "title", "author", "content"])
+    docs = ann.annotated_content(_named(annotated), None, "ptt")
+    # Stored once, as jobs do, for the three tables.
+    path = scratch(spark, "annotated")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
     t = ann.normalize_annotated(docs)
     none = F.lit(None).cast("bigint")
     return (

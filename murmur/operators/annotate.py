@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions.text import clean_text, tokens
 from murmur.operators.joins import small_lookup
-from murmur.operators.layout import by_document
+from murmur.operators.layout import by_document, partitions
 from murmur.schema import ANNOTATION
 
 # What a model does: texts in, one (words, tags, [(entity, type)]) per text out.
@@ -117,35 +117,54 @@ def pos_filter(annotated: DataFrame, stop_pos: Sequence[str]) -> DataFrame:
     return kept.withColumn("words", F.col("_pairs.words")).withColumn("pos", F.col("_pairs.pos")).drop("_pairs")
 
 
-def annotated_content(articles: DataFrame, annotated: DataFrame, source: str) -> DataFrame:
-    """Annotated articles as (url, data) documents."""
-    words = word_pos_frequency(annotated)
-    entities = entity_mentions(
-        annotated.join(articles.select("url", "publish_date"), "url")
+def annotated_content(articles: DataFrame, annotated: DataFrame | None, source: str) -> DataFrame:
+    """Annotated articles as (url, data) documents; ``url`` is the key on both sides.
+
+    Without ``annotated`` the articles hold ``words``, ``pos`` and ``entities`` themselves.
+    Documents move once, by ``url``; words and entities become rows, are counted and
+    are put together again where they are. Articles without words are left out.
+    """
+    fields = ["url", "publish_date", "title", "author", "content"]
+    found = ["words", "pos", "entities"]
+    if annotated is None:
+        docs = by_document(articles.select(*fields, *found), "url")
+    else:
+        n = max(partitions(articles), partitions(annotated))
+        docs = articles.select(*fields).repartition(n, "url").join(
+            annotated.select("url", *found).repartition(n, "url"), "url"
+        )
+    word = lambda x: F.struct(F.lit(0).alias("kind"), x["words"].alias("name"), x["pos"].alias("tag"))
+    entity = lambda x: F.struct(F.lit(1).alias("kind"), x["entity"].alias("name"), x["type"].alias("tag"))
+    items = F.concat(
+        F.transform(F.arrays_zip("words", "pos"), word),
+        F.coalesce(F.transform("entities", entity), F.array()),
     )
-    w = words.groupBy("url").agg(
-        F.sort_array(F.collect_list(F.struct("pos_idx", "word", "pos", "frequency"))).alias("_w")
+    # The article goes with its first word only, not with every row.
+    rows = docs.filter(F.size("words") > 0).select("*", F.posexplode(items).alias("idx", "_i")).select(
+        "url",
+        "idx",
+        "_i.*",
+        F.when(F.col("idx") == 0, F.struct(*fields[1:])).alias("_article"),
     )
-    e = entities.groupBy("url").agg(
-        F.sort_array(F.collect_list(F.struct("idx", "entity", "type", "counts", "publish_date"))).alias("_e")
+    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("url", "kind", "name")))
+    of_kind = lambda k: F.sort_array(
+        F.collect_list(F.when(F.col("kind") == k, F.struct("idx", "name", "tag", "n")))
     )
-    word_of = lambda x: F.struct(x["word"].alias("word"), x["pos"].alias("pos"), x["frequency"].alias("frequency"))
+    day = F.col("_a.publish_date")
+    word_of = lambda x: F.struct(x["name"].alias("word"), x["tag"].alias("pos"), x["n"].alias("frequency"))
     entity_of = lambda x: F.struct(
-        x["entity"].alias("entity"), x["type"].alias("type"), x["counts"].alias("counts"), x["publish_date"].alias("publish_date")
+        x["name"].alias("entity"), x["tag"].alias("type"), x["n"].alias("counts"), day.alias("publish_date")
     )
-    no_entities = F.array().cast(
-        "array<struct<entity: string, type: string, counts: bigint, publish_date: date>>"
+    whole = counted.groupBy("url").agg(
+        F.first("_article", ignorenulls=True).alias("_a"), of_kind(0).alias("_w"), of_kind(1).alias("_e")
     )
-    return articles.join(w, "url").join(e, "url", "left").select(
+    return whole.select(
         "url",
         F.struct(
             F.lit(source).alias("source"),
-            "publish_date",
-            "title",
-            "author",
-            "content",
+            "_a.*",
             F.transform("_w", word_of).alias("word_pos_frequency"),
-            F.coalesce(F.transform("_e", entity_of), no_entities).alias("named_entities"),
+            F.transform("_e", entity_of).alias("named_entities"),
         ).alias("data"),
     )
 
