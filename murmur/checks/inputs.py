@@ -45,6 +45,14 @@ LEXICON = (
 
 GAZETTEER = (("tion", "ORG"), ("ing", "PERSON"), ("orre", "GPE"), ("die", "NORP"), ("ea", "LOC"))
 
+# Names of several words that overlap each other and the single ones; "of the" has two types.
+NAMES = (
+    *GAZETTEER,
+    ("of the", "ORG"), ("of the", "GPE"), ("the and", "FAC"), ("and the", "FAC"), ("is the", "LOC"),
+    ("and of the", "EVENT"), ("the of the", "LAW"), ("of the and", "WORK"), ("in der", "GPE"), ("der die", "ORG"),
+    ("de la", "GPE"), ("la  de", "LOC"), ("de la de", "ORG"), ("que de", "NORP"), ("de que", "NORP"),
+)
+
 
 # Where the articles of each of the eight sites live.
 HOSTS = (
@@ -76,6 +84,10 @@ def gazetteer(spark: SparkSession) -> DataFrame:
     return literal_table(spark, GAZETTEER, ["word", "type"])
 
 
+def names(spark: SparkSession) -> DataFrame:
+    return literal_table(spark, NAMES, ["word", "type"])
+
+
 def values(rows, names: str) -> str:
     """A literal table in SQL."""
     cells = ", ".join("(" + ", ".join(repr(c) for c in r) + ")" for r in rows)

@@ -347,10 +347,27 @@ def pos_filter(spark, sf):
     )
 
 
-@query(f"""WITH {src.TOKENS}, {src.GAZ}
-SELECT doc_seq, pos, token AS entity, type FROM tokens JOIN gaz ON token = word""")
+# Every match, the longest one of each start, and from it to the first start behind its end.
+@query(f"""WITH RECURSIVE {src.TOKENS},
+gaz AS (SELECT regexp_replace(word, ' +', ' ', 'g') AS word, type FROM {src.values(src.NAMES, 'word, type')}),
+ahead AS MATERIALIZED (
+  SELECT doc_seq, pos, token AS w1, token || ' ' || lead(token, 1) OVER d AS w2,
+         token || ' ' || lead(token, 1) OVER d || ' ' || lead(token, 2) OVER d AS w3
+  FROM tokens WINDOW d AS (PARTITION BY doc_seq ORDER BY pos)),
+longest AS MATERIALIZED (
+  SELECT doc_seq, pos, CASE WHEN w3 IN (SELECT word FROM gaz) THEN w3 WHEN w2 IN (SELECT word FROM gaz) THEN w2 ELSE w1 END AS entity
+  FROM ahead WHERE w1 IN (SELECT word FROM gaz) OR w2 IN (SELECT word FROM gaz) OR w3 IN (SELECT word FROM gaz)),
+span AS (SELECT *, pos + len(string_split(entity, ' ')) AS past FROM longest),
+step AS MATERIALIZED (
+  SELECT a.doc_seq, a.pos, a.entity, b.pos AS next FROM span a ASOF LEFT JOIN span b ON a.doc_seq = b.doc_seq AND a.past <= b.pos),
+chosen AS (
+  SELECT s.doc_seq, s.pos, s.entity, s.next FROM step s
+  JOIN (SELECT doc_seq, min(pos) AS pos FROM step GROUP BY doc_seq) f USING (doc_seq, pos)
+  UNION ALL SELECT s.doc_seq, s.pos, s.entity, s.next FROM chosen c JOIN step s ON s.doc_seq = c.doc_seq AND s.pos = c.next)
+SELECT doc_seq, pos, entity, type FROM chosen JOIN gaz ON entity = word""")
 def gazetteer_entities(spark, sf):
-    return ann.gazetteer_entities(_emotion_tokens(spark, sf), src.gazetteer(spark), ["doc_seq"])
+    docs = ann.annotate_words(_emotion_docs(spark, sf), ["doc_seq"], lower=True)
+    return ann.gazetteer_entities(docs, src.names(spark), ["doc_seq"])
 
 
 def _with_entities(spark, sf):

@@ -75,11 +75,64 @@ def annotate_words(
     return docs.select(*carry, found.alias("words")).withColumn("pos", F.transform("words", tag))
 
 
-def gazetteer_entities(tokens: DataFrame, gazetteer: DataFrame, carry: Sequence[str]) -> DataFrame:
-    """Tokens that are names in the gazetteer (``word``, ``type``), one per mention."""
-    names = gazetteer.select(F.col("word").alias("token"), "type")
-    found = small_lookup(tokens, names, ["token"])
-    return found.select(*carry, "pos", F.col("token").alias("entity"), "type")
+def gazetteer_entities(docs: DataFrame, gazetteer: DataFrame, carry: Sequence[str], words: str = "words") -> DataFrame:
+    """Names of the gazetteer (``word``, ``type``) in ``words``, one row per mention and type.
+
+    A name is one or more words, split at white space. Of overlapping names the one
+    that begins first holds, and of those that begin together the longest, from left
+    to right; ``pos`` is the place of its first word. ``carry`` identifies a document.
+
+    The names form a trie of two levels, so a gazetteer may have any size: the first two
+    words lead to the lengths of the names that go on from there, and each length to a
+    whole name. Both are lookups by key. Rows hold as many words as the longest name, so
+    nothing is shuffled before a match while the names fit a broadcast.
+    """
+    names = (
+        gazetteer.select(F.filter(F.split("word", r"\s+"), lambda w: w != "").alias("_name"), "type")
+        .filter("size(_name) > 0")
+        .groupBy("_name")
+        .agg(F.sort_array(F.collect_set("type")).alias("_types"))
+        .withColumn("_n", F.size("_name"))
+    )
+    longest = names.agg(F.max("_n")).first()[0] or 1
+    rows = docs.select(*carry, words, F.posexplode(words).alias("pos", "token")).filter("token is not null").select(
+        *carry, "pos", "token", F.slice(words, F.col("pos") + 1, longest).alias("_ahead")
+    )
+    single = names.filter("_n = 1").select(F.col("_name")[0].alias("token"), "_types")
+    found = small_lookup(rows, single, ["token"]).select(*carry, "pos", F.array("token").alias("_name"), "_types")
+    if longest > 1:
+        several = names.filter("_n > 1")
+        heads = several.groupBy(F.col("_name")[0].alias("token"), F.col("_name")[1].alias("_second")).agg(
+            F.collect_set("_n").alias("_lengths")
+        )
+        begun = small_lookup(rows.withColumn("_second", F.get("_ahead", F.lit(1))), heads, ["token", "_second"])
+        tried = begun.select(*carry, "pos", "_ahead", F.explode("_lengths").alias("_n")).filter("size(_ahead) >= _n")
+        whole = tried.select(*carry, "pos", F.slice("_ahead", F.lit(1), F.col("_n")).alias("_name"))
+        found = found.unionByName(small_lookup(whole, several.drop("_n"), ["_name"]).select(*carry, "pos", "_name", "_types"))
+    kept = found if longest == 1 else leftmost_longest(found.withColumn("_n", F.size("_name")), carry)
+    return kept.select(*carry, "pos", F.array_join("_name", " ").alias("entity"), F.explode("_types").alias("type"))
+
+
+def leftmost_longest(found: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Of matches (``pos``, ``_n`` words) in a document those that hold from left to right.
+
+    Matches that begin where all earlier ones have ended start a new run, and only
+    within a run the choice is one after the other; runs are short, whatever the document.
+    """
+    end = F.col("pos") + F.col("_n")
+    order = Window.partitionBy(*carry).orderBy("pos", F.desc("_n"))
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(before.isNull() | (F.col("pos") >= before), 1).otherwise(0)
+    runs = found.withColumn("_starts", starts).withColumn("_run", F.sum("_starts").over(order))
+    fields = [c for c in found.columns if c not in carry]
+    items = F.sort_array(F.collect_list(F.struct("pos", (-F.col("_n")).alias("_order"), F.struct(*fields).alias("_m"))))
+    grouped = runs.groupBy(*carry, "_run").agg(items.alias("_items"))
+    none = F.struct(F.lit(0).alias("end"), F.slice(F.transform("_items", lambda x: x["_m"]), 1, 0).alias("kept"))
+    take = lambda acc, x: F.when(
+        x["pos"] >= acc["end"],
+        F.struct((x["pos"] - x["_order"]).alias("end"), F.concat(acc["kept"], F.array(x["_m"])).alias("kept")),
+    ).otherwise(acc)
+    return grouped.select(*carry, F.explode(F.aggregate("_items", none, take)["kept"]).alias("_m")).select(*carry, "_m.*")
 
 
 def word_pos_frequency(annotated: DataFrame, doc: str = "url") -> DataFrame:
