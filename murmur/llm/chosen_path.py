@@ -12,7 +12,9 @@ branching is enough, and 0.998 where three are needed.
 Sketches only propose: leaves name the classes that have a likely link, these bring their full sets, and
 the sets decide. As components are what is asked for, a comparison tries the likeliest
 links first and passes over what is joined already, so no group lists all its pairs. The first trees'
-leaves are compared first; the others then look at pairs of different components that have not met before.
+leaves are compared first; the others then look at pairs of different components that have not met before. They are grown
+with the components known by then: a node that holds classes of a single component can join nothing and is dropped before its
+rows are looked up or branch again, so a large group that the first trees have joined goes through no other tree.
 
 A null or empty text, and one without words, has no set and is linked with nothing. Rows without a
 doc_id are left out. Rows with the same doc_id and different texts are one node, linked through either.
@@ -72,8 +74,8 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _children(rows: DataFrame, percent: int) -> DataFrame:
-    """(node, tree, rep) one level down, of (node, tree, rep, sketch)."""
-    schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("rep", pa.int64())])
+    """(node, tree, rep, comp) one level down, of (node, tree, rep, comp, sketch)."""
+    schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("rep", pa.int64()), ("comp", pa.int64())])
     extra = 100 / percent - 1  # how often a node chooses a second place
 
     def run(batches):
@@ -81,7 +83,7 @@ def _children(rows: DataFrame, percent: int) -> DataFrame:
             if not b.num_rows:
                 continue
             node = b.column(0).to_numpy().view(np.uint64)
-            marks = np.array([np.frombuffer(x, "<u4", PLACES) for x in b.column(3).to_pylist()])
+            marks = np.array([np.frombuffer(x, "<u4", PLACES) for x in b.column(4).to_pylist()])
             first = mix(node ^ np.uint64(0xA5A5A5A5A5A5A5A5))
             places = [(first % np.uint64(PLACES), np.ones(len(node), bool))]
             second = (places[0][0] + np.uint64(1) + (first >> np.uint64(20)) % np.uint64(PLACES - 1)) % np.uint64(PLACES)
@@ -90,25 +92,27 @@ def _children(rows: DataFrame, percent: int) -> DataFrame:
                 at = np.flatnonzero(on)
                 value = marks[at, place[at].astype(np.int64)].astype(np.uint64)
                 child = mix(mix(node[at] + place[at]) + value).view(np.int64)
-                yield batch(schema.names, [child, b.column(1).take(pa.array(at)), b.column(2).take(pa.array(at))], schema)
+                yield batch(schema.names, [child, *(b.column(c).take(pa.array(at)) for c in (1, 2, 3))], schema)
 
-    return rows.select("node", "tree", "rep", "sketch").mapInArrow(run, "node long, tree int, rep long")
+    return rows.select("node", "tree", "rep", "comp", "sketch").mapInArrow(run, "node long, tree int, rep long, comp long")
 
 
-def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
+def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH, since: int = 0) -> DataFrame:
     """(node, tree, size, rep) of all nodes that are to be compared, each set of classes once.
 
-    Nodes above ``leaf`` are those that still hold too many after ``depth`` branchings.
+    Nodes above ``leaf`` are those that still hold too many after ``depth`` branchings. Trees are those from ``since`` on.
+    ``comp`` of ``classes`` (rep, sketch, comp) is a class's component as far as it is known; nodes of one component are none.
     """
-    roots = F.explode(F.array(*(F.lit(i) for i in range(trees)))).alias("tree")
-    rows = classes.select(roots, "rep", "sketch").select(F.xxhash64(F.lit("root"), "tree").alias("node"), "tree", "rep", "sketch")
+    roots = F.explode(F.array(*(F.lit(i) for i in range(since, trees)))).alias("tree")
+    rows = classes.select(roots, "rep", "comp", "sketch").withColumn("node", F.xxhash64(F.lit("root"), "tree"))
     level = store(_children(rows, percent), "level")
     found = []
     for d in range(1, depth + 1):
         sizes = level.groupBy("node").agg(
-            F.count("*").alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("tree").alias("tree")
+            F.count("*").alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("tree").alias("tree"),
+            F.min("comp").alias("least"), F.max("comp").alias("most"),
         )
-        held = sizes.where("size > 1")
+        held = sizes.where("least < most").drop("least", "most")
         small = held if d == depth else held.where(F.col("size") <= leaf)
         once = small.groupBy("size", "members").agg(F.min_by("node", F.struct("tree", "node")).alias("node"), F.min("tree").alias("tree"))
         found.append(level.select("node", "rep").join(once.select("node", "tree", "size"), "node"))
@@ -116,7 +120,7 @@ def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf:
             more = store(held.where(F.col("size") > leaf).select("node"), "nodes")
             if more.isEmpty():
                 break
-            large = level.join(more, "node").join(classes.select("rep", "sketch"), "rep")
+            large = level.join(more, "node", "left_semi").join(classes.select("rep", "sketch"), "rep")
             level = store(_children(large, percent), "level")
     out = found[0]
     for x in found[1:]:
@@ -262,13 +266,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     )
     classes = store(classes, "classes")
     sketched = classes.select("rep", "n_shingles", "sketch")
-    nodes = leaves(classes, percent, trees, leaf)
     links = labels = done = None  # labels: (rep, comp) of classes that are not their component's smallest
     for first in (True, False):
-        held = nodes.where(F.col("tree") < FIRST_TREES) if first else nodes
         if first:
-            held = held.withColumn("comp", F.col("rep"))
+            nodes = leaves(sketched.withColumn("comp", F.col("rep")), percent, min(trees, FIRST_TREES), leaf)
+            held = nodes.withColumn("comp", F.col("rep"))
         else:
+            if trees > FIRST_TREES:
+                known = sketched.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+                nodes = nodes.unionByName(leaves(known, percent, trees, leaf, since=FIRST_TREES))
+            # the first trees' large leaves are not through yet
+            held = nodes
             held = held.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
             mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
             held = held.join(mixed.select("node"), "node", "left_semi")
