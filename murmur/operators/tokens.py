@@ -41,6 +41,63 @@ def token_rows(docs: DataFrame, carry: Sequence[str], words: str = "words") -> D
     return rows.filter("pos is not null")
 
 
+# Words of a run of Han characters: where they begin, from 1, and their length; other characters are tokens of their own.
+CUTS = "array<struct<at: int, n: int>>"
+
+
+def _pieces(content: str, lower: bool) -> Column:
+    """Runs of Han characters and words of other scripts, in order."""
+    text = F.lower(content) if lower else F.col(content)
+    return F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
+
+
+def _han_runs(docs: DataFrame, doc: str, content: str, lower: bool) -> DataFrame:
+    """(doc, run, chars): runs of two Han characters or more, as their characters; no other piece of a text becomes a row."""
+    runs = docs.select(doc, F.posexplode(_pieces(content, lower)).alias("run", "piece"))
+    # A run is held as its characters, so that cutting one out takes no scan.
+    long = runs.filter(F.col("piece").rlike(f"^[{HAN}]{{2}}"))
+    return long.select(doc, "run", F.regexp_extract_all("piece", F.lit("."), F.lit(0)).alias("chars"))
+
+
+def _spelled(docs: DataFrame, paths: DataFrame, doc: str, content: str, lower: bool, carry: Sequence[str]) -> DataFrame:
+    """Tokens of whole documents with the words found in their runs, (doc, run, cuts).
+
+    The words of a document meet it in one row; its other pieces are read from its text again, not carried as rows.
+    """
+    by_doc = paths.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("run", "cuts"))).alias("_paths"))
+    none = F.lit(None).cast(CUTS)
+
+    def filled(path, i):
+        """The path behind as many nulls as there are pieces since the one before, so that its place is its run's."""
+        before = F.coalesce(F.get("_paths", i - 1)["run"], F.lit(-1))
+        return F.concat(F.array_repeat(none, path["run"] - before - 1), F.array(path["cuts"]))
+
+    def spelled(chars, cuts):
+        # With the ends of the run put around them, the words bound a stretch of single
+        # characters, a word, a stretch of single characters, and so on.
+        ends = F.flatten(F.transform(cuts, lambda c: F.array(c["at"], c["at"] + c["n"])))
+        bounds = F.concat(F.array(F.lit(1)), F.coalesce(ends, F.array().cast("array<int>")), F.array(F.size(chars) + 1))
+
+        def parts(b):
+            def part(i):
+                begin, end = F.get(b, i), F.get(b, i + 1)
+                cut = F.slice(chars, begin, end - begin)
+                return F.when(i % 2 == 0, cut).otherwise(F.array(F.array_join(cut, "")))
+
+            return F.flatten(F.transform(F.sequence(F.lit(0), F.size(b) - 2), part))
+
+        return once(bounds, parts)
+
+    def piece_words(piece, cuts):
+        run = once(F.regexp_extract_all(piece, F.lit("."), F.lit(0)), lambda chars: spelled(chars, cuts))
+        return F.when(piece.rlike(f"^[{HAN}]{{2}}"), run).otherwise(F.array(piece))
+
+    places = F.coalesce(F.flatten(F.transform("_paths", filled)), F.array().cast(f"array<{CUTS}>"))
+    words = once(places, lambda at: F.flatten(F.transform(_pieces(content, lower), lambda p, i: piece_words(p, F.get(at, i)))))
+    found = docs.join(by_doc, doc, "left").select(doc, *carry, words.alias("words"))
+    return token_rows(found, [doc, *carry])
+
+
 def segment(
     docs: DataFrame,
     lexicon: DataFrame,
@@ -64,14 +121,7 @@ def segment(
     if max_len is None:
         max_len = known.filter(F.col("word").rlike(f"[{HAN}]")).agg(F.max(F.length("word"))).first()[0] or 1
     docs = by_document(docs.select(doc, *carry, content), doc)
-    text = F.lower(content) if lower else F.col(content)
-    found = F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
-    han = F.col("piece").rlike(f"^[{HAN}]")
-    # A run is held as its characters, so that cutting one out takes no scan.
-    chars = F.when(han, F.regexp_extract_all("piece", F.lit("."), F.lit(0)))
-    runs = docs.select(doc, *carry, F.posexplode(found).alias("run", "piece")).select(
-        doc, *carry, "run", "piece", chars.alias("chars")
-    )
+    runs = _han_runs(docs, doc, content, lower)
     grams = F.transform(
         F.sequence(F.lit(1), F.size("chars")),
         lambda i: F.struct(
@@ -79,8 +129,7 @@ def segment(
         ),
     )
     candidates = (
-        runs.filter("size(chars) > 1")
-        .select(doc, "run", F.explode(grams).alias("g"))
+        runs.select(doc, "run", F.explode(grams).alias("g"))
         .filter("length(g.text) > 1")
         .select(
             doc, "run", "g.start", "g.text", F.explode(F.sequence(F.lit(2), F.length("g.text"))).alias("n")
@@ -94,45 +143,23 @@ def segment(
         .agg(F.sort_array(F.collect_list(F.struct("start", (-F.col("n")).alias("m")))).alias("hits"))
     )
 
-    # Begin and end of each kept word, in one flat array of numbers.
+    # Begin and length of each kept word.
     def step(acc, hit):
         end = hit["start"] - hit["m"]
+        word = F.struct(hit["start"].alias("at"), (-hit["m"]).alias("n"))
         return F.when(
             hit["start"] >= acc["next"],
-            F.struct(
-                end.alias("next"), F.concat(acc["kept"], F.array(hit["start"], end)).alias("kept")
-            ),
+            F.struct(end.alias("next"), F.concat(acc["kept"], F.array(word)).alias("kept")),
         ).otherwise(acc)
 
-    none = F.array().cast("array<int>")
+    none = F.array().cast(CUTS)
     cuts = F.aggregate(
         "hits",
         F.struct(F.lit(1).alias("next"), none.alias("kept")),
         step,
         lambda acc: acc["kept"],
     )
-    pieces = runs.join(hits.select(doc, "run", cuts.alias("cuts")), [doc, "run"], "left")
-    # With the ends of the run put around them, the cuts bound a stretch of single
-    # characters, a word, a stretch of single characters, and so on.
-    bounds = F.concat(
-        F.array(F.lit(1)), F.coalesce("cuts", none), F.array(F.size("chars") + 1)
-    )
-
-    def spelled(b):
-        def part(i):
-            begin, end = F.get(b, i), F.get(b, i + 1)
-            cut = F.slice("chars", begin, end - begin)
-            return F.when(i % 2 == 0, cut).otherwise(F.array(F.array_join(cut, "")))
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(b) - 2), part))
-
-    words = F.when(F.col("chars").isNull(), F.array("piece")).otherwise(once(bounds, spelled))
-    by_doc = pieces.select(doc, *carry, "run", words.alias("words")).groupBy(doc, *carry).agg(
-        F.flatten(
-            F.transform(F.sort_array(F.collect_list(F.struct("run", "words"))), lambda r: r["words"])
-        ).alias("words")
-    )
-    return token_rows(by_doc, [doc, *carry])
+    return _spelled(docs, hits.select(doc, "run", cuts.alias("cuts")), doc, content, lower, carry)
 
 
 def _billionths(c: Column) -> Column:
@@ -172,15 +199,9 @@ def segment_probable(
         F.sort_array(F.collect_list(F.struct("n", "p", "word"))).alias("_words")
     )
     docs = by_document(docs.select(doc, *carry, content), doc)
-    text = F.lower(content) if lower else F.col(content)
-    found = F.regexp_extract_all(text, F.lit(f"[{HAN}]+|{WORD}"), F.lit(0))
-    han = F.col("piece").rlike(f"^[{HAN}]")
-    chars = F.when(han, F.regexp_extract_all("piece", F.lit("."), F.lit(0)))
-    runs = docs.select(doc, *carry, F.posexplode(found).alias("run", "piece")).select(
-        doc, *carry, "run", "piece", chars.alias("chars")
-    )
+    runs = _han_runs(docs, doc, content, lower)
     places = F.transform("chars", lambda c, i: F.struct(c.alias("c"), F.array_join(F.slice("chars", i + 1, longest), "").alias("ahead")))
-    at = runs.filter("chars is not null").select(doc, "run", F.posexplode(places).alias("i", "x")).select(
+    at = runs.select(doc, "run", F.posexplode(places).alias("i", "x")).select(
         doc, "run", "i", "x.c", "x.ahead", F.substring("x.ahead", 1, 2).alias("two")
     )
     at = small_lookup(small_lookup(at, single, ["c"], "left"), begins, ["two"], "left")
@@ -189,7 +210,9 @@ def segment_probable(
         F.filter("_words", lambda w: F.col("ahead").startswith(w["word"])), lambda w: F.struct(w["n"].alias("n"), w["p"].alias("p"))
     )
     edges = F.when(F.col("_words").isNull(), F.array(alone)).otherwise(F.concat(F.array(alone), fitting))
-    graphs = at.groupBy(doc, "run").agg(F.sort_array(F.collect_list(F.struct("i", edges.alias("edges"))), asc=False).alias("graph"))
+    # What the aggregate may have to sort is a place and its edges, not the words they came from.
+    edged = at.select(doc, "run", F.struct("i", edges.alias("edges")).alias("place"))
+    graphs = edged.groupBy(doc, "run").agg(F.sort_array(F.collect_list("place"), asc=False).alias("graph"))
 
     # From the right: ``best`` holds the probabilities of the paths from each place to the end, the end's first.
     def step(acc, place):
@@ -212,16 +235,11 @@ def segment_probable(
             F.when(here, F.concat(acc["cuts"], F.array(F.struct(acc["at"].alias("at"), n.alias("n"))))).otherwise(acc["cuts"]).alias("cuts"),
         )
 
-    none = F.array().cast("array<struct<at: int, n: int>>")
+    none = F.array().cast(CUTS)
     first = F.struct(F.lit(1).alias("at"), F.lit(1).alias("next"), none.alias("cuts"))
-    cuts = F.aggregate("taken", first, walk, lambda acc: acc["cuts"])
+    cuts = F.filter(F.aggregate("taken", first, walk, lambda acc: acc["cuts"]), lambda c: c["n"] > 1)
     paths = graphs.select(doc, "run", taken.alias("taken")).select(doc, "run", cuts.alias("cuts"))
-    pieces = runs.join(paths, [doc, "run"], "left")
-    spelled = F.transform("cuts", lambda c: F.array_join(F.slice("chars", c["at"], c["n"]), ""))
-    by_doc = pieces.select(doc, *carry, "run", F.coalesce(spelled, F.array("piece")).alias("words")).groupBy(doc, *carry).agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("run", "words"))), lambda r: r["words"])).alias("words")
-    )
-    return token_rows(by_doc, [doc, *carry])
+    return _spelled(docs, paths, doc, content, lower, carry)
 
 
 def tokenize_with(
