@@ -11,7 +11,8 @@ to the shared folder as sorted blocks; tasks read the blocks that their texts as
 
 The language with the lowest cross-entropy per character wins. ``score`` is its share among
 the languages after a calibrated softmax; ``rejected`` marks texts whose cross-entropy is above what all but
-one in a thousand of a bounded sample of training texts show.
+one in a thousand of all training texts show. Both are taken from every training text: tasks score them, Spark adds the
+losses of each slope up and counts the cross-entropies by their leading bits, which leads to the exact quantile.
 
 ``und`` with score 0 where the text is null, empty or without any letter, or if nothing was learnt.
 """
@@ -28,14 +29,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import batch, new_folder, partitions, runs, sampled, store, texts
+from murmur.llm.common import batch, new_folder, partitions, runs, store, texts
 
 CHARS_AT_ONCE = 1 << 20
 MAX_GRAMS = 1_000_000  # counts that the driver takes; more become a model in the shared folder
 BLOCK_ROWS = 1 << 17  # entries of a block there
 CACHE_BYTES = 192 << 20  # of blocks that a task's process keeps
 DISCOUNT_FLOOR = 0.1
-SAMPLE_ROWS = 2_000  # for the rejection bound and the softmax
+SLOPES = [0.25, 0.5, 1.0, 2.0, 4.0, 8.0]  # of the softmax
 REJECT = 0.001
 PAD = " " * 3
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -282,8 +283,8 @@ def entropies(model: Model | Stored, items: list[str]) -> tuple[np.ndarray, np.n
     return -total / np.maximum(size, 1)[:, None], size, letters
 
 
-def _softmax(model: Model | Stored, e: np.ndarray, size: np.ndarray) -> np.ndarray:
-    z = -(e - e.min(axis=1, keepdims=True)) * model.slope * np.sqrt(size)[:, None]
+def _softmax(slope: float, e: np.ndarray, size: np.ndarray) -> np.ndarray:
+    z = -(e - e.min(axis=1, keepdims=True)) * slope * np.sqrt(size)[:, None]
     z = np.exp(z)
     return z / z.sum(axis=1, keepdims=True)
 
@@ -370,19 +371,55 @@ def learn_stored(counts: DataFrame, parts: int) -> Stored:
     return Stored(names, blocks, unseen)
 
 
-def _sample_entropies(sample: DataFrame, model: Model | Stored) -> list:
-    """(lang, e, size) of the sampled texts with a letter; the texts stay in tasks."""
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("e", pa.list_(pa.float64())), ("size", pa.float64())])
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+def _scored(train: DataFrame, model: Model | Stored) -> DataFrame:
+    """(low, losses) of every training text with a letter: the bits of its lowest cross-entropy, its loss at each slope."""
+    schema = pa.schema([("low", pa.int64()), ("losses", pa.list_(pa.float64()))])
+    shared = train.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        model = shared.value
         for b in batches:
-            e, size, letters = entropies(shared.value, b.column(1).to_pylist())
+            e, size, letters = entropies(model, b.column(0).to_pylist())
             ok = np.flatnonzero(letters > 0)
-            yield batch(schema.names, [b.column(0).take(pa.array(ok)), b.column(2).take(pa.array(ok)), e[ok].tolist(), size[ok]], schema)
-
-    found = sample.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, e array<double>, size double")
-    return sorted(found.collect(), key=lambda r: (r["doc_id"], r["lang"], r["size"], r["e"]))
+            if not len(ok):
+                continue
+            e, size = e[ok], size[ok]
+            at = np.array([model.langs.index(x) for x in b.column(1).take(pa.array(ok)).to_pylist()])
+            losses = []
+            for slope in SLOPES:
+                p = _softmax(slope, e, size)[np.arange(len(e)), at]
+                losses.append(-np.log(np.maximum(p, 1e-9)))
+            low = np.maximum(e.min(axis=1), 0.0) + 0.0  # of numbers not below 0, the bits sort as they do
+            yield batch(schema.names, [low.view(np.int64), np.column_stack(losses).tolist()], schema)
+
+    return train.select("text", "lang").mapInArrow(run, "low long, losses array<double>")
+
+
+def _nth(rows: DataFrame, n: int) -> float:
+    """The n-th smallest (from 0) of the numbers whose bits are in ``low``, by counts of 16 bits at a time."""
+    head = 0
+    for shift in (48, 32, 16, 0):
+        inside = rows if shift == 48 else rows.where(F.shiftright("low", shift + 16) == head)
+        counts = inside.groupBy(F.shiftright("low", shift).alias("head")).agg(F.count("*").alias("n"))  # at most 65,536 rows
+        for r in sorted(counts.collect()):
+            if n < r["n"]:
+                head = r["head"]
+                break
+            n -= r["n"]
+    return float(np.array([head], np.int64).view(np.float64)[0])
+
+
+def _calibrate(train: DataFrame, model: Model | Stored) -> None:
+    """Set the bound and the slope of the model from all training texts."""
+    scored = store(_scored(train, model), "scored")
+    n, *losses = scored.agg(F.count("*"), *(F.sum(F.col("losses")[i]) for i in range(len(SLOPES)))).first()
+    if not n:
+        return
+    place = (1 - REJECT) * (n - 1)
+    least = _nth(scored, int(place))
+    most = _nth(scored, min(int(place) + 1, n - 1))
+    model.bound = least + (most - least) * (place - int(place))
+    model.slope = SLOPES[int(np.argmin(losses))]
 
 
 def fit(docs: DataFrame, keep: Column, lang_col: str = "lang") -> Model | Stored | None:
@@ -404,17 +441,7 @@ def fit(docs: DataFrame, keep: Column, lang_col: str = "lang") -> Model | Stored
             )
     finally:
         counts.unpersist()
-    sample = _sample_entropies(sampled(train.where("doc_id IS NOT NULL"), SAMPLE_ROWS), model)
-    if sample:
-        e, size = np.array([r["e"] for r in sample]), np.array([r["size"] for r in sample])
-        model.bound = float(np.quantile(e.min(axis=1), 1 - REJECT))
-        at = np.array([model.langs.index(r["lang"]) for r in sample])
-        slopes = [0.25, 0.5, 1.0, 2.0, 4.0, 8.0]
-        losses = []
-        for model.slope in slopes:
-            p = _softmax(model, e, size)[np.arange(len(e)), at]
-            losses.append(-np.log(np.maximum(p, 1e-9)).mean())
-        model.slope = slopes[int(np.argmin(losses))]
+    _calibrate(train, model)
     return model
 
 
@@ -436,7 +463,7 @@ def predict(docs: DataFrame, model: Model | Stored | None) -> DataFrame:
             e, size, letters = entropies(model, items)
             best, ok = e.argmin(axis=1), letters > 0
             low = e[np.arange(len(items)), best]
-            p = _softmax(model, e, size).max(axis=1)
+            p = _softmax(model.slope, e, size).max(axis=1)
             lang = [model.langs[i] if k else "und" for i, k in zip(best, ok, strict=True)]
             yield batch(
                 schema.names,
