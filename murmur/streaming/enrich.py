@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from murmur.functions.counts import occurrences
 from murmur.functions.text import clean_text, tokens
 from murmur.operators.ingest import latest_by_key, parse_messages
 from murmur.operators.joins import small_lookup
-from murmur.operators.layout import by_document
 from murmur.operators.tokens import token_rows
 from murmur.streaming.ingest import KEYS, ORDER
 from murmur.streaming.log import put, start
@@ -30,35 +30,19 @@ def enrich(messages: DataFrame, gazetteer: DataFrame) -> DataFrame:
         "value.title",
         F.col("value.reporter").alias("author"),
         clean_text(F.coalesce("value.content", F.lit(""))).alias("content"),
-    ).withColumn("_words", tokens(F.col("content"), lower=False))
-    # Words move once with their document; counts and mentions come from the same rows.
-    rows = token_rows(by_document(docs.select("_doc", "_words"), "_doc"), ["_doc"], "_words")
+    )
+    # Words are counted in their document; only those that the gazetteer names become rows that are moved.
+    words = tokens(F.col("content"), lower=False)
     names = gazetteer.select(F.col("word").alias("token"), "type").groupBy("token").agg(
         F.sort_array(F.collect_set("type")).alias("_types")
     )
-    named = small_lookup(rows, names, ["token"], "left")
-    by_word = named.groupBy("_doc", "token").agg(
-        F.count("pos").alias("n"),
-        F.first("_types").alias("_types"),
-        F.sort_array(F.collect_list("pos")).alias("_at"),
-    )
-    found = F.when(F.col("_types").isNotNull(), F.struct("token", "_types", "_at"))
-    by_doc = by_word.groupBy("_doc").agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "n"))).alias("word_frequency"),
-        F.collect_list(found).alias("_found"),
-    )
-    mentions = F.flatten(
-        F.transform(
-            "_found",
-            lambda f: F.flatten(
-                F.transform(
-                    f["_at"],
-                    lambda at: F.transform(f["_types"], lambda t: F.struct(at.alias("pos"), f["token"].alias("word"), t.alias("type"))),
-                )
-            ),
-        )
+    named = small_lookup(token_rows(docs.select("_doc", words.alias("_words")), ["_doc"], "_words"), names, ["token"])
+    found = F.transform("_types", lambda t: F.struct("pos", F.col("token").alias("word"), t.alias("type")))
+    by_doc = named.select("_doc", found.alias("_found")).groupBy("_doc").agg(
+        F.sort_array(F.flatten(F.collect_list("_found"))).alias("_mentions")
     )
-    entities = F.transform(F.sort_array(mentions), lambda e: F.struct(e["word"].alias("word"), e["type"].alias("type")))
+    entities = F.transform("_mentions", lambda e: F.struct(e["word"].alias("word"), e["type"].alias("type")))
+    counts = F.map_from_entries(occurrences(words))
     none = F.array().cast("array<struct<word: string, type: string>>")
     return docs.join(by_doc, "_doc", "left").select(
         "key",
@@ -71,7 +55,7 @@ def enrich(messages: DataFrame, gazetteer: DataFrame) -> DataFrame:
         "author",
         "content",
         F.coalesce(entities, none).alias("entities"),
-        F.coalesce("word_frequency", F.create_map().cast("map<string,bigint>")).alias("word_frequency"),
+        counts.alias("word_frequency"),
     )
 
 
