@@ -10,24 +10,31 @@ from murmur.checks.ingest import FIELDS, LATEST, MERGED, PROPS, partial_messages
 from murmur.checks.registry import query
 from murmur.checks.words import KEYWORDS
 from murmur.operators.articles import normalize_for_keywords
+from murmur.operators.layout import read_bytes
 from murmur.session import scratch
 from murmur.sources import io
 from murmur.streaming import daily, enrich, ingest
 
 FILES = {"maxFilesPerTrigger": "2"}
+PARTS = 4
+PART_BYTES = 32 * 1024 * 1024  # of the tables that the rows come from
 
 
-def _stream(spark, rows, name, schema=None, parts=4):
-    """The rows as a stream of files, a few per micro-batch."""
+def _stream(spark, rows, name, parts=PARTS):
+    """The rows as a stream of files, a few per micro-batch: its folder, and the options that keep it at two batches.
+
+    Files hold a bounded share of the tables, so that no task writes or reads more of a larger input.
+    """
     path = scratch(spark, name)
+    parts = max(parts, -(-read_bytes(rows) // PART_BYTES))
     rows.repartition(parts).write.parquet(path)
-    return path
+    return path, FILES if parts == PARTS else {"maxFilesPerTrigger": str(-(-parts // 2))}
 
 
 @query(f'WITH {LATEST} SELECT topic, partition, "offset", key, k FROM last')
 def stream_ingest_upsert(spark, sf):
-    path = _stream(spark, src.messages(spark, sf), "in")
-    source = io.read_messages(spark, "parquet", FILES, path, stream=True)
+    path, files = _stream(spark, src.messages(spark, sf), "in")
+    source = io.read_messages(spark, "parquet", files, path, stream=True)
     table = scratch(spark, "collection")
     run = ingest.ingest_stream(source, PROPS, table, scratch(spark, "bad"), scratch(spark, "ckpt"))
     run.awaitTermination()
@@ -37,8 +44,8 @@ def stream_ingest_upsert(spark, sf):
 
 @query(f'WITH {MERGED} SELECT key, last.t AS topic, last.p AS partition, last.o AS "offset", k.v AS k, s.v AS s, n.v AS n FROM merged')
 def stream_upsert_fields(spark, sf):
-    path = _stream(spark, partial_messages(spark, sf), "in")
-    source = io.read_messages(spark, "parquet", FILES, path, stream=True)
+    path, files = _stream(spark, partial_messages(spark, sf), "in")
+    source = io.read_messages(spark, "parquet", files, path, stream=True)
     table = scratch(spark, "fields")
     ingest.ingest_fields_stream(source, FIELDS, table, scratch(spark, "bad"), scratch(spark, "ckpt")).awaitTermination()
     return ingest.read_fields(spark, table, FIELDS).select("key", "topic", "partition", "offset", "value.*")
@@ -52,8 +59,8 @@ def stream_daily_keywords(spark, sf):
     articles = normalize_for_keywords(src.raw_documents(spark, sf), src.AS_OF).select(
         F.to_date("publish_day").alias("publish_date"), "source", "content"
     )
-    path = _stream(spark, articles, "articles")
-    source = spark.readStream.schema(articles.schema).options(**FILES).parquet(path)
+    path, files = _stream(spark, articles, "articles")
+    source = spark.readStream.schema(articles.schema).options(**files).parquet(path)
     table = scratch(spark, "counts")
     daily.daily_keywords_stream(source, table, scratch(spark, "ckpt")).awaitTermination()
     return daily.read_daily_keywords(spark, table, src.stopwords(spark))
@@ -62,8 +69,8 @@ def stream_daily_keywords(spark, sf):
 @query(f"WITH {src.CRAWL} SELECT url, first_crawl, confirm_num, last_update FROM states")
 def stream_frontier(spark, sf):
     events = src.crawl_events(spark, sf)
-    path = _stream(spark, events, "crawl")
-    source = spark.readStream.schema(events.schema).options(**FILES).parquet(path)
+    path, files = _stream(spark, events, "crawl")
+    source = spark.readStream.schema(events.schema).options(**files).parquet(path)
     table = scratch(spark, "frontier")
     daily.frontier_stream(source, table, scratch(spark, "ckpt")).awaitTermination()
     return daily.read_frontier(spark, table)
@@ -95,8 +102,8 @@ def stream_enrich(spark, sf):
             )
         ).alias("value"),
     )
-    path = _stream(spark, news, "news")
-    source = io.read_messages(spark, "parquet", FILES, path, stream=True)
+    path, files = _stream(spark, news, "news")
+    source = io.read_messages(spark, "parquet", files, path, stream=True)
     table = scratch(spark, "enriched")
     enrich.enrich_stream(source, src.gazetteer(spark), table, scratch(spark, "ckpt")).awaitTermination()
     counts = F.map_values("word_frequency")
