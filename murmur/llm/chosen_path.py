@@ -98,7 +98,7 @@ def _children(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH, since: int = 0) -> DataFrame:
-    """(node, tree, size, rep) of all nodes that are to be compared, each set of classes once.
+    """(node, tree, size, rep, comp) of all nodes that are to be compared, each set of classes once.
 
     Nodes above ``leaf`` are those that still hold too many after ``depth`` branchings. Trees are those from ``since`` on.
     ``comp`` of ``classes`` (rep, sketch, comp) is a class's component as far as it is known; nodes of one component are none.
@@ -106,26 +106,26 @@ def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf:
     roots = F.explode(F.array(*(F.lit(i) for i in range(since, trees)))).alias("tree")
     rows = classes.select(roots, "rep", "comp", "sketch").withColumn("node", F.xxhash64(F.lit("root"), "tree"))
     level = store(_children(rows, percent), "level")
-    found = []
+    levels = nodes = None
     for d in range(1, depth + 1):
         sizes = level.groupBy("node").agg(
             F.count("*").alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("tree").alias("tree"),
             F.min("comp").alias("least"), F.max("comp").alias("most"),
         )
-        held = sizes.where("least < most").drop("least", "most")
-        small = held if d == depth else held.where(F.col("size") <= leaf)
-        once = small.groupBy("size", "members").agg(F.min_by("node", F.struct("tree", "node")).alias("node"), F.min("tree").alias("tree"))
-        found.append(level.select("node", "rep").join(once.select("node", "tree", "size"), "node"))
-        if d < depth:
-            more = store(held.where(F.col("size") > leaf).select("node"), "nodes")
-            if more.isEmpty():
-                break
-            large = level.join(more, "node", "left_semi").join(classes.select("rep", "sketch"), "rep")
-            level = store(_children(large, percent), "level")
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return store(out.select("node", "tree", "size", "rep"), "leaves")
+        held = store(sizes.where("least < most").drop("least", "most"), "nodes")
+        more = held.where(F.col("size") > leaf).select("node")
+        last = d == depth or more.isEmpty()
+        small = held if last else held.where(F.col("size") <= leaf)
+        levels = level if levels is None else levels.unionByName(level)
+        nodes = small if nodes is None else nodes.unionByName(small)
+        if last:
+            break
+        large = level.join(more, "node", "left_semi").join(classes.select("rep", "sketch"), "rep")
+        level = store(_children(large, percent), "level")
+    # a set of classes that stays whole is the same on several levels too
+    once = nodes.groupBy("size", "members").agg(F.min_by("node", F.struct("tree", "node")).alias("node"))
+    found = levels.join(once.select("node", "size"), "node")
+    return store(found.select("node", "tree", "size", "rep", "comp"), "leaves")
 
 
 class Group:
@@ -163,23 +163,26 @@ class Group:
         return np.concatenate(found)
 
 
+ASKED = "key long, rep long, n_shingles long, comp long, sketch binary, done array<long>"
+
+
 def _likely(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, rep) of all classes that a comparison under the key would have to look at."""
-    schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
+    """The rows of all classes that a comparison under the key would have to look at."""
 
     def run(batches):
         for g in groups(batches, "key"):
             group = Group(g, percent)
             pairs = group.likely()
             if len(pairs):
-                rep = np.unique(group.rep[pairs[:, 1:].ravel()])
-                yield batch(schema.names, [np.full(len(rep), g.column("key")[0].as_py()), rep], schema)
+                # rows that share a doc_id are one node: all of them
+                yield from g.filter(pa.array(np.isin(group.rep, group.rep[pairs[:, 1:].ravel()]))).to_batches()
 
-    return rows.repartition(n, "key").sortWithinPartitions("key", "rep").mapInArrow(run, "key long, rep long")
+    placed = rows.select("key", "rep", "n_shingles", "comp", "sketch", "done").repartition(n, "key").sortWithinPartitions("key", "rep")
+    return placed.mapInArrow(run, ASKED)
 
 
 def _confirmed(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) of rows with full sets: the likely links that the sets confirm and that join two components.
+    """(a, b) of rows with full sets: components that links join which the sets confirm, with the smallest one under the key.
 
     The likeliest are tried first; a pair that is joined by then needs no look.
     """
@@ -198,35 +201,41 @@ def _confirmed(rows: DataFrame, n: int, percent: int) -> DataFrame:
                     x = owner[x]
                 return x
 
-            links = []
-            comp, rep = group.comp.tolist(), group.rep.tolist()
+            comp = group.comp.tolist()
             for _, i, k in pairs[np.argsort(-pairs[:, 0], kind="stable")].tolist():
                 x, y = root(comp[i]), root(comp[k])
                 if x == y:
                     continue
                 common = len(np.intersect1d(full[i], full[k], assume_unique=True))
                 if 100 * common >= percent * (len(full[i]) + len(full[k]) - common):
-                    owner[x] = y
-                    links.append((rep[i], rep[k]))
-            if links:
-                yield batch(schema.names, zip(*links, strict=True), schema)
+                    owner[max(x, y)] = min(x, y)
+            # stars, not the chains that the links make: few rounds lead to their components
+            if owner:
+                yield batch(schema.names, zip(*((x, root(x)) for x in list(owner)), strict=True), schema)
 
     return rows.repartition(n, "key").sortWithinPartitions("key", "rep").mapInArrow(run, "a long, b long")
 
 
-def _full(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(rep, shingles): the sets of the wanted classes."""
-    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+def _full(docs: DataFrame, asked: DataFrame, width: int) -> DataFrame:
+    """The rows asked for, each with the full set (shingles) of its class; a text is read once for all its keys."""
+    kept = ["keys", "marks", "comp", "done"]
 
     def run(batches):
         for b in batches:
             ids, items = b.column(0), b.column(1).to_pylist()
             for i in range(0, len(items), 500):
                 found = [s.tobytes() for s in sets(items[i : i + 500], width)]
-                yield batch(schema.names, [ids.slice(i, len(found)), found], schema)
+                rest = [b.column(c).slice(i, len(found)) for c in range(2, 2 + len(kept))]
+                yield pa.RecordBatch.from_arrays([ids.slice(i, len(found)), *rest, pa.array(found, pa.binary())], ["rep", *kept, "shingles"])
 
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    return texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "rep long, shingles binary")
+    by_rep = asked.groupBy(F.col("rep").alias("doc_id")).agg(
+        F.collect_set("key").alias("keys"), F.collect_set(F.struct("n_shingles", "sketch")).alias("marks"),
+        F.first("comp").alias("comp"), F.first("done").alias("done"),
+    )
+    schema = "rep long, keys array<long>, marks array<struct<n_shingles:long,sketch:binary>>, comp long, done array<long>, shingles binary"
+    found = texts(docs).join(by_rep, "doc_id").select("doc_id", "text", *kept).mapInArrow(run, schema)
+    found = found.select(F.explode("keys").alias("key"), "rep", "marks", "comp", "done", "shingles")
+    return found.select("key", "rep", F.inline("marks"), "comp", "done", "shingles")
 
 
 def _keys(held: DataFrame, first: bool, leaf: int) -> DataFrame:
@@ -252,8 +261,8 @@ def _keys(held: DataFrame, first: bool, leaf: int) -> DataFrame:
         rest = F.greatest(F.ceil(F.col("rest") / leaf), F.lit(1)).cast("int")
         q = F.pmod(F.xxhash64("rep", F.lit(2)), rest).cast("int")
         all_rows = joined.select("node", part.alias("p"), every(rest).alias("q"), "rep", "comp")
-        outer = joined.where("comp <> main").select("node", every(blocks).alias("p"), q.alias("q"), "rep", "comp")
-        dealt = all_rows.unionByName(outer).select(F.xxhash64("node", "p", "q").alias("key"), "rep", "comp").distinct()
+        outer = joined.where("comp <> main").select("node", part.alias("own"), every(blocks).alias("p"), q.alias("q"), "rep", "comp")
+        dealt = all_rows.unionByName(outer.where("p <> own").drop("own")).select(F.xxhash64("node", "p", "q").alias("key"), "rep", "comp")
     return small.unionByName(dealt)
 
 
@@ -266,33 +275,28 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     )
     classes = store(classes, "classes")
     sketched = classes.select("rep", "n_shingles", "sketch")
-    links = labels = done = None  # labels: (rep, comp) of classes that are not their component's smallest
-    for first in (True, False):
-        if first:
-            nodes = leaves(sketched.withColumn("comp", F.col("rep")), percent, min(trees, FIRST_TREES), leaf)
-            held = nodes.withColumn("comp", F.col("rep"))
-        else:
-            if trees > FIRST_TREES:
-                known = sketched.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-                nodes = nodes.unionByName(leaves(known, percent, trees, leaf, since=FIRST_TREES))
-            # the first trees' large leaves are not through yet
-            held = nodes
-            held = held.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-            mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
-            held = held.join(mixed.select("node"), "node", "left_semi")
-        dealt = _keys(held, first, leaf)
-        rows = dealt.join(sketched, "rep")
-        if first:
-            done = dealt.groupBy("rep").agg(F.collect_set("key").alias("done"))
-            rows = rows.withColumn("done", F.lit(None).cast("array<long>"))
-        else:
-            rows = rows.join(done, "rep", "left")
+
+    def compared(rows: DataFrame) -> DataFrame:
         asked = store(_likely(rows, n, percent), "asked")
-        full = _full(docs, asked, width)
-        sure = _confirmed(rows.join(asked, ["key", "rep"], "left_semi").join(full, "rep"), n, percent)
-        sure = store(sure, "sure")
-        links = sure if links is None else links.unionByName(sure)
-        labels = components(links).select(F.col("a").alias("rep"), F.col("b").alias("comp"))
+        sure = store(_confirmed(_full(docs, asked, width), n, percent), "sure")
+        return components(sure).select(F.col("a").alias("rep"), F.col("b").alias("comp"))
+
+    nodes = leaves(sketched.withColumn("comp", F.col("rep")), percent, min(trees, FIRST_TREES), leaf)
+    dealt = _keys(nodes, True, leaf)
+    done = dealt.groupBy("rep").agg(F.collect_set("key").alias("done"))
+    # (rep, comp) of classes that are not their component's smallest
+    labels = compared(dealt.join(sketched, "rep").withColumn("done", F.lit(None).cast("array<long>")))
+    # the first trees' large leaves are not through yet
+    held = nodes.drop("comp").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
+    held = store(held.join(mixed.select("node"), "node", "left_semi"), "held")
+    if trees > FIRST_TREES:
+        known = sketched.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        held = held.unionByName(leaves(store(known, "known"), percent, trees, leaf, since=FIRST_TREES))
+    more = compared(_keys(held, False, leaf).join(sketched, "rep").join(done, "rep", "left"))
+    # these join components, by the names they had
+    further = more.select(F.col("rep").alias("comp"), F.col("comp").alias("joined"))
+    labels = labels.join(further, "comp", "left").select("rep", F.coalesce("joined", "comp").alias("comp")).unionByName(more)
     out = marks.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
     comp = F.coalesce("comp", "rep", "doc_id")
     out = out.join(labels, "rep", "left")

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from murmur.llm.common import store
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _ended(links: DataFrame) -> bool:
+    """Whether all are stars: no larger end has two smaller ones or is itself a smaller one."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("up")).unionByName(links.select(F.col("b").alias("x"), F.lit(0).alias("up")))
+    odd = ends.groupBy("x").agg(F.sum("up").alias("up"), F.min("up").alias("least")).where("up > 1 OR (up = 1 AND least = 0)")
+    return not odd.agg(F.count("*")).first()[0]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,18 +28,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = store(now, "links")
-    state = _state(now)
-    while state[0]:
+    while not _ended(now):
         # large star: the larger neighbours of a node move to its smallest one
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node and its smaller neighbours move to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        new = store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
-        after = _state(new)
-        if after == state:
-            return new
-        now, state = new, after
+        now = store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
     return now
