@@ -10,6 +10,7 @@ string. All tries grow together, one level at a time.
 from __future__ import annotations
 
 import numpy as np
+from numpy.lib.stride_tricks import sliding_window_view
 
 SHALLOW = 16
 
@@ -36,7 +37,7 @@ def equal_groups(flat: np.ndarray, start: np.ndarray, length: int) -> tuple[np.n
     for depth in range(0, min(SHALLOW, length) - 7, 8):
         if not len(at):
             return at, group
-        key = flat[start[at][:, None] + np.arange(depth, depth + 8)].view(">u8").ravel()
+        key = sliding_window_view(flat, 8)[start[at] + depth].view(">u8").ravel()
         order, group = _regroup(group, key)
         at = at[order]
         size = np.diff(np.append(_starts(group), len(group)))
@@ -53,7 +54,7 @@ def _blind_tries(flat, start, length, at, group):
         first = _starts(group)
         size = np.diff(np.append(first, len(group)))
         least = min(int(depth.min()), length - 1)
-        rest = flat[start[at][:, None] + np.arange(least, length)]
+        rest = sliding_window_view(flat, length)[start[at], least:]
         differs = rest != np.repeat(rest[first], size, axis=0)
         place = np.where(differs.any(axis=1), differs.argmax(axis=1), length - least)
         branch = np.repeat(np.minimum.reduceat(place, first), size) + least

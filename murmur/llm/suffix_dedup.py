@@ -20,10 +20,13 @@ with the same doc_id don't remove each other's bytes; each row of the input has
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,6 +125,11 @@ class Chunk:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
 
+    @functools.cached_property
+    def padded(self) -> np.ndarray:
+        """The bytes with zeros on either side, so that all anchors have whole surroundings."""
+        return np.concatenate([np.zeros(AROUND, np.uint8), self.flat, np.zeros(LENGTH, np.uint8)])
+
     def owners(self, at: np.ndarray) -> np.ndarray:
         """Index of the text that each byte belongs to."""
         return np.searchsorted(self.ends, at, side="right")
@@ -136,8 +144,9 @@ class Chunk:
         at = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         out = np.empty(len(at), np.uint64)
         for i in range(0, len(at), 1 << 16):
-            raw = self.flat[at[i : i + (1 << 16), None] + np.arange(24).clip(max=ANCHOR - 1)]
-            raw[:, ANCHOR:] = 0
+            some = at[i : i + (1 << 16)]
+            raw = np.zeros((len(some), 24), np.uint8)
+            raw[:, :ANCHOR] = sliding_window_view(self.flat, ANCHOR)[some]
             w = raw.view(np.uint64).reshape(-1, 3)
             out[i : i + (1 << 16)] = mix(mix(mix(w[:, 0]) + w[:, 1]) + w[:, 2]) >> np.uint64(64 - HASH_BITS)
         return at, out
@@ -271,7 +280,7 @@ def _around(c: Chunk, at: np.ndarray) -> np.ndarray:
     before = np.minimum(at - c.starts[owner], AROUND)
     beyond = np.minimum(c.ends[owner] - at, LENGTH)
     step = np.arange(-AROUND, LENGTH)
-    raw = c.flat[(at[:, None] + step).clip(0, len(c.flat) - 1)]
+    raw = sliding_window_view(c.padded, SPAN)[at]
     raw[(step < -before[:, None]) | (step >= beyond[:, None])] = 0
     return np.hstack([raw, before[:, None].astype(np.uint8), beyond[:, None].astype(np.uint8)])
 
