@@ -3,7 +3,8 @@
 Every text is a set of word shingles. Texts with the same set are one class, which its smallest doc_id
 stands for. A class has a sketch of 256 minwise values. In each tree a node chooses one or two
 of 128 places, and its classes move on to the children named by the minwise tokens they have there, so
-similar classes stay together with a probability no less than their similarity at each step.
+similar classes stay together with a probability no less than their similarity at each step. A class's way follows from
+its own sketch and the nodes that branch, so no sketch moves for it; comparisons move the 128 bytes that trees don't use.
 Nodes of at most ``LEAF`` classes are compared exhaustively on their sketches; larger ones branch
 again, up to ``DEPTH`` times, and what is larger still is compared in blocks. Trees
 are independent; with 12 a pair at the bound shares a leaf with a probability above 0.999999 where one
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import batch, mix, partitions, store, texts
+from murmur.llm.common import among, batch, discard, mix, partitions, store, texts
 from murmur.llm.components import components
 from murmur.llm.grouped import groups
 from murmur.llm.shingles import sets
@@ -40,7 +41,7 @@ TREES = 12
 FIRST_TREES = 2  # whose leaves are compared before the others
 LEAF = 1_000
 DEPTH = 4
-SLACK = 3.8  # standard deviations under the bound below which equal values of two sketches propose no link
+SLACK = 4.0  # standard deviations under the bound below which equal values of two sketches propose no link
 MULTIPLIERS = mix(np.arange(1, 2 * PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -73,28 +74,38 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return given.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary")
 
 
-def _children(rows: DataFrame, percent: int) -> DataFrame:
-    """(node, tree, rep, comp) one level down, of (node, tree, rep, comp, sketch)."""
+def _children(classes: DataFrame, percent: int, roots: dict[int, int], opened: list) -> DataFrame:
+    """(node, tree, rep, comp) of the level below the nodes ``opened`` last, of (rep, comp, sketch).
+
+    ``roots`` has the root of each tree, ``opened`` for each level above the nodes (broadcast) that branch again. The way
+    of a class follows from its sketch alone, so nothing moves.
+    """
     schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("rep", pa.int64()), ("comp", pa.int64())])
     extra = 100 / percent - 1  # how often a node chooses a second place
 
+    def step(marks, node, at):
+        first = mix(node ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+        one = first % np.uint64(PLACES)
+        two = (one + np.uint64(1) + (first >> np.uint64(20)) % np.uint64(PLACES - 1)) % np.uint64(PLACES)
+        on = (first >> np.uint64(40)) % np.uint64(1000) < np.uint64(int(extra * 1000))
+        place, node, at = np.append(one, two[on]), np.append(node, node[on]), np.append(at, at[on])
+        return mix(mix(node + place) + marks[at, place.astype(np.int64)].astype(np.uint64)), at
+
     def run(batches):
+        large = [x.value for x in opened]
         for b in batches:
             if not b.num_rows:
                 continue
-            node = b.column(0).to_numpy().view(np.uint64)
-            marks = np.array([np.frombuffer(x, "<u4", PLACES) for x in b.column(4).to_pylist()])
-            first = mix(node ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-            places = [(first % np.uint64(PLACES), np.ones(len(node), bool))]
-            second = (places[0][0] + np.uint64(1) + (first >> np.uint64(20)) % np.uint64(PLACES - 1)) % np.uint64(PLACES)
-            places.append((second, (first >> np.uint64(40)) % np.uint64(1000) < np.uint64(int(extra * 1000))))
-            for place, on in places:
-                at = np.flatnonzero(on)
-                value = marks[at, place[at].astype(np.int64)].astype(np.uint64)
-                child = mix(mix(node[at] + place[at]) + value).view(np.int64)
-                yield batch(schema.names, [child, *(b.column(c).take(pa.array(at)) for c in (1, 2, 3))], schema)
+            marks = np.array([np.frombuffer(x, "<u4", PLACES) for x in b.column(2).to_pylist()])
+            for tree, root in roots.items():
+                node, at = step(marks, np.full(b.num_rows, root, np.int64).view(np.uint64), np.arange(b.num_rows))
+                for nodes in large:
+                    more = np.isin(node, nodes)
+                    node, at = step(marks, node[more], at[more])
+                places = pa.array(at)
+                yield batch(schema.names, [node.view(np.int64), np.full(len(at), tree, np.int32), b.column(0).take(places), b.column(1).take(places)], schema)
 
-    return rows.select("node", "tree", "rep", "comp", "sketch").mapInArrow(run, "node long, tree int, rep long, comp long")
+    return classes.select("rep", "comp", "sketch").mapInArrow(run, "node long, tree int, rep long, comp long")
 
 
 def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH, since: int = 0) -> DataFrame:
@@ -103,29 +114,33 @@ def leaves(classes: DataFrame, percent: int = PERCENT, trees: int = TREES, leaf:
     Nodes above ``leaf`` are those that still hold too many after ``depth`` branchings. Trees are those from ``since`` on.
     ``comp`` of ``classes`` (rep, sketch, comp) is a class's component as far as it is known; nodes of one component are none.
     """
-    roots = F.explode(F.array(*(F.lit(i) for i in range(since, trees)))).alias("tree")
-    rows = classes.select(roots, "rep", "comp", "sketch").withColumn("node", F.xxhash64(F.lit("root"), "tree"))
-    level = store(_children(rows, percent), "level")
+    spark = classes.sparkSession
+    names = spark.range(0, 1, 1, 1).select(*(F.xxhash64(F.lit("root"), F.lit(i)) for i in range(since, trees))).first()
+    roots = dict(zip(range(since, trees), names, strict=True))
+    opened, made, held_at = [], [], []
     levels = nodes = None
     for d in range(1, depth + 1):
+        level = store(_children(classes, percent, roots, opened), "level")
         sizes = level.groupBy("node").agg(
             F.count("*").alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"), F.min("tree").alias("tree"),
             F.min("comp").alias("least"), F.max("comp").alias("most"),
         )
         held = store(sizes.where("least < most").drop("least", "most"), "nodes")
-        more = held.where(F.col("size") > leaf).select("node")
-        last = d == depth or more.isEmpty()
+        made, held_at = [*made, level], [*held_at, held]
+        # at most one for every ``leaf`` rows of the level
+        more = np.empty(0, np.int64) if d == depth else held.where(F.col("size") > leaf).select("node").toArrow()["node"].to_numpy()
+        last = not len(more)
         small = held if last else held.where(F.col("size") <= leaf)
         levels = level if levels is None else levels.unionByName(level)
         nodes = small if nodes is None else nodes.unionByName(small)
         if last:
             break
-        large = level.join(more, "node", "left_semi").join(classes.select("rep", "sketch"), "rep")
-        level = store(_children(large, percent), "level")
+        opened.append(spark.sparkContext.broadcast(np.sort(more).view(np.uint64)))
     # a set of classes that stays whole is the same on several levels too
     once = nodes.groupBy("size", "members").agg(F.min_by("node", F.struct("tree", "node")).alias("node"))
-    found = levels.join(once.select("node", "size"), "node")
-    return store(found.select("node", "tree", "size", "rep", "comp"), "leaves")
+    found = store(levels.join(once.select("node", "size"), "node").select("node", "tree", "size", "rep", "comp"), "leaves")
+    discard(*made, *held_at)
+    return found
 
 
 class Group:
@@ -134,9 +149,8 @@ class Group:
     def __init__(self, g: pa.Table, percent: int):
         self.percent = percent
         self.rep, self.n, self.comp = (g.column(c).to_numpy() for c in ("rep", "n_shingles", "comp"))
-        raw = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint8).reshape(-1, 5 * PLACES)
-        self.wide = np.ascontiguousarray(raw[:, : 4 * PLACES]).view("<u4")
-        self.narrow = raw[:, 4 * PLACES :]
+        raw = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint8).reshape(len(self.rep), -1)
+        self.values = raw[:, -PLACES:]  # of a whole sketch, those that no tree branches by
         self.done = g.column("done").to_pylist()
 
     def likely(self) -> np.ndarray:
@@ -144,7 +158,7 @@ class Group:
         _, at, counts = np.unique(self.comp, return_inverse=True, return_counts=True)
         found = [np.zeros((0, 3), np.int64)]
         percent, p = self.percent, self.percent / 100
-        lowest = 2 * PLACES * (p - SLACK * (p * (1 - p) / (2 * PLACES)) ** 0.5)
+        lowest = PLACES * (p - SLACK * (p * (1 - p) / PLACES) ** 0.5)
         if len(counts) > 1:
             # of components, one end of every link is outside the largest
             inner = at == counts.argmax()
@@ -152,7 +166,7 @@ class Group:
             for i in np.flatnonzero(~inner).tolist():
                 k = np.flatnonzero((at != at[i]) & (inner | (place > i)))
                 k = k[100 * np.minimum(self.n[k], self.n[i]) >= percent * np.maximum(self.n[k], self.n[i])]
-                same = (self.wide[k] == self.wide[i]).sum(axis=1) + (self.narrow[k] == self.narrow[i]).sum(axis=1)
+                same = (self.values[k] == self.values[i]).sum(axis=1)
                 hit = same >= lowest
                 k, same = k[hit], same[hit]
                 mine = set(self.done[i] or ())
@@ -233,7 +247,8 @@ def _full(docs: DataFrame, asked: DataFrame, width: int) -> DataFrame:
         F.first("comp").alias("comp"), F.first("done").alias("done"),
     )
     schema = "rep long, keys array<long>, marks array<struct<n_shingles:long,sketch:binary>>, comp long, done array<long>, shingles binary"
-    found = texts(docs).join(by_rep, "doc_id").select("doc_id", "text", *kept).mapInArrow(run, schema)
+    # few texts are asked for: the others don't move
+    found = among(texts(docs), "doc_id", asked.select("rep")).join(by_rep, "doc_id").select("doc_id", "text", *kept).mapInArrow(run, schema)
     found = found.select(F.explode("keys").alias("key"), "rep", "marks", "comp", "done", "shingles")
     return found.select("key", "rep", F.inline("marks"), "comp", "done", "shingles")
 
@@ -274,30 +289,40 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
     classes = store(classes, "classes")
-    sketched = classes.select("rep", "n_shingles", "sketch")
-
-    def compared(rows: DataFrame) -> DataFrame:
-        asked = store(_likely(rows, n, percent), "asked")
+    rows = marks.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
+    rows = store(rows.select("doc_id", "n_shingles", "rep"), "rows")
+    discard(marks)
+    # comparisons get only the values that no tree branches by
+    short = classes.select("rep", "n_shingles", F.substring("sketch", 4 * PLACES + 1, PLACES).alias("sketch"))
+
+    def compared(dealt: DataFrame) -> DataFrame:
+        asked = store(_likely(dealt, n, percent), "asked")
         sure = store(_confirmed(_full(docs, asked, width), n, percent), "sure")
-        return components(sure).select(F.col("a").alias("rep"), F.col("b").alias("comp"))
+        found = components(sure).select(F.col("a").alias("rep"), F.col("b").alias("comp"))
+        discard(asked, sure)
+        return found
 
-    nodes = leaves(sketched.withColumn("comp", F.col("rep")), percent, min(trees, FIRST_TREES), leaf)
+    nodes = leaves(classes.select("rep", "sketch", F.col("rep").alias("comp")), percent, min(trees, FIRST_TREES), leaf)
     dealt = _keys(nodes, True, leaf)
     done = dealt.groupBy("rep").agg(F.collect_set("key").alias("done"))
     # (rep, comp) of classes that are not their component's smallest
-    labels = compared(dealt.join(sketched, "rep").withColumn("done", F.lit(None).cast("array<long>")))
+    labels = compared(dealt.join(short, "rep").withColumn("done", F.lit(None).cast("array<long>")))
     # the first trees' large leaves are not through yet
     held = nodes.drop("comp").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     mixed = held.groupBy("node").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most")
     held = store(held.join(mixed.select("node"), "node", "left_semi"), "held")
+    made = [nodes, held]
     if trees > FIRST_TREES:
-        known = sketched.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        held = held.unionByName(leaves(store(known, "known"), percent, trees, leaf, since=FIRST_TREES))
-    more = compared(_keys(held, False, leaf).join(sketched, "rep").join(done, "rep", "left"))
+        known = classes.select("rep", F.substring("sketch", 1, 4 * PLACES).alias("sketch")).join(labels, "rep", "left")
+        known = store(known.withColumn("comp", F.coalesce("comp", "rep")), "known")
+        later = leaves(known, percent, trees, leaf, since=FIRST_TREES)
+        discard(known)
+        held, made = held.unionByName(later), [*made, later]
+    more = compared(_keys(held, False, leaf).join(short, "rep").join(done, "rep", "left"))
+    discard(classes, *made)
     # these join components, by the names they had
     further = more.select(F.col("rep").alias("comp"), F.col("comp").alias("joined"))
     labels = labels.join(further, "comp", "left").select("rep", F.coalesce("joined", "comp").alias("comp")).unionByName(more)
-    out = marks.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
     comp = F.coalesce("comp", "rep", "doc_id")
-    out = out.join(labels, "rep", "left")
+    out = rows.join(labels, "rep", "left")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), (F.col("doc_id") == comp).alias("kept"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import store
+from murmur.llm.common import discard, store
 
 
 def _ended(links: DataFrame) -> bool:
@@ -36,5 +36,6 @@ def components(links: DataFrame) -> DataFrame:
         # small star: a node and its smaller neighbours move to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        last, now = now, store(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+        discard(last)
     return now
