@@ -58,15 +58,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; a text that was nothing else goes."""
     rows = _keyed(docs)
-    cut = suffix_dedup.remove_repeats(_texts(rows), whole_letters=True).where(F.size("spans") > 0)
-    cut = cut.select(F.col("doc_id").alias("_id"), F.col("kept").cast("string").alias("_text"))
+    cut = suffix_dedup.remove_repeats(_texts(rows), whole_letters=True)
+    cut = cut.select(F.col("doc_id").alias("_id"), (F.size("spans") > 0).alias("_cut"), F.col("kept").cast("string").alias("_text"))
+    # what is kept of every text moves, so the texts themselves need not; a null one is kept as an empty one
+    others = rows.withColumn("_none", F.col("text").isNull()).drop("text")
     # Catalyst knows the size of the chunks' places, not of the texts read from them: never broadcast these
-    joined = rows.join(cut.hint("merge"), F.col(KEY) == F.col("_id"), "left")
-    joined = joined.where("_id IS NULL OR _text <> ''")
-    changed = {"text": F.coalesce("_text", "text")}
+    joined = others.join(cut.hint("merge"), F.col(KEY) == F.col("_id")).where("NOT _cut OR _text <> ''")
+    changed = {"text": F.when(~F.col("_none"), F.col("_text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(kind))
+        changed["n_chars"] = F.when(~F.col("_cut"), F.col("n_chars")).otherwise(F.length("_text").cast(kind))
     return joined.withColumns(changed).select(*docs.columns)
 
 
